@@ -148,5 +148,7 @@ def duckdb_with(*names: str) -> str:
     for n in _deps_in_order(names):
         template, deps = VIEWS[n]
         body = template.format(**_DUCKDB_DIALECT, **{d: d for d in deps})
-        parts.append(f"{n} AS ({body.strip()})")
+        # MATERIALIZED: keeps DuckDB from pushing outer filters into the view
+        # body (which trips an internal dictionary-cache error in some plans)
+        parts.append(f"{n} AS MATERIALIZED ({body.strip()})")
     return "WITH " + ",\n".join(parts) + "\n" if parts else ""

@@ -7,14 +7,10 @@ histogram is partially aggregated map-side); the threshold sweep, the
 default-threshold confusion matrix and the exact ROC AUC / average precision
 all read the histogram.
 
-AUC and AP need counts accumulated from the highest score down.  A single
-``Window`` over all distinct scores would put them in one task, so the
-histogram is **range-partitioned** on ``(model, score desc)`` (sampled
-bounds, balanced even when scores cluster), each range gets its running sums
-locally and adds the totals of the ranges before it.  The range-partitioned
-histogram is checkpointed to the shared folder first, which pins the range
-ids (a recomputation after an executor loss could otherwise re-sample other
-bounds) and lets every metric reuse it without re-reading the input.
+AUC and AP need counts accumulated from the highest score down; they come
+from ``ranking.running_sums`` over the range-partitioned, checkpointed
+histogram (no single-task window), which every metric then reuses without
+re-reading the input.
 """
 
 from __future__ import annotations
@@ -26,7 +22,7 @@ from pyspark.sql import functions as F
 
 from txguard.functions.formatting import threshold_label
 from txguard.schemas import DEFAULT_ALERT_THRESHOLD, DEFAULT_THRESHOLDS
-from txguard.session import shared_dir
+from txguard.operators.ranking import pinned_ranges, running_sums
 
 
 def build_thresholds(production_threshold: float = DEFAULT_ALERT_THRESHOLD,
@@ -66,31 +62,9 @@ def score_histogram(scored: DataFrame, group_cols: Sequence[str] = ("model",),
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
 
 
-def pinned_ranges(hist: DataFrame, group_cols: Sequence[str], n_ranges: int | None = None) -> DataFrame:
-    """Range-partition the histogram on ``(group, score desc)`` and checkpoint it
-    with its range id ``_part``."""
-    spark = hist.sparkSession
-    shared_dir(spark)   # make sure a (shared) checkpoint folder is configured
-    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (hist.repartitionByRange(n, *[F.col(g) for g in group_cols], F.col("score").desc())
-              .withColumn("_part", F.spark_partition_id()))
-    return ranged.checkpoint(eager=True)
-
-
 def cumulative_from_top(ranged: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     """Add ``cpos``/``cneg``: counts over scores >= this score, per group."""
-    g = list(group_cols)
-    totals = ranged.groupBy(*g, "_part").agg(F.sum("pos").alias("_tp"), F.sum("neg").alias("_tn"))
-    before = Window.partitionBy(*g).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*g, "_part",
-                            F.coalesce(F.sum("_tp").over(before), F.lit(0)).alias("_op"),
-                            F.coalesce(F.sum("_tn").over(before), F.lit(0)).alias("_on"))
-    within = (Window.partitionBy(*g, "_part").orderBy(F.col("score").desc())
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (ranged.join(offsets, [*g, "_part"])
-            .select(*g, "score", "pos", "neg",
-                    (F.sum("pos").over(within) + F.col("_op")).alias("cpos"),
-                    (F.sum("neg").over(within) + F.col("_on")).alias("cneg")))
+    return running_sums(ranged, group_cols, "score", ["pos", "neg"], descending=True)
 
 
 def ranking_metrics(cum: DataFrame, group_cols: Sequence[str]) -> DataFrame:
@@ -201,7 +175,8 @@ class Evaluation:
                  n_ranges: int | None = None):
         self.group_cols = list(group_cols)
         hist = score_histogram(scored, self.group_cols, label_col, score_col)
-        self.hist = pinned_ranges(hist, self.group_cols, n_ranges)
+        self.hist = pinned_ranges(hist, self.group_cols, "score", descending=True,
+                                  n_ranges=n_ranges)
 
     def ranking(self) -> DataFrame:
         return ranking_metrics(cumulative_from_top(self.hist, self.group_cols), self.group_cols)
