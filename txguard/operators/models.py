@@ -93,7 +93,7 @@ class CandidateResult:
     extras: dict = field(default_factory=dict)
 
 
-def class1_probability(scored: DataFrame) -> Column:
+def class1_probability() -> Column:
     return vector_to_array(F.col("probability"))[1]
 
 
@@ -105,10 +105,10 @@ def fit_candidate(candidate: Candidate, train: DataFrame, test: DataFrame,
     model = Pipeline(stages=[*pre.getStages(), candidate.classifier]).fit(train)
     scored = model.transform(test).select(
         F.lit(candidate.name).alias("model"), "trans_num",
-        F.col("is_fraud").alias("label"), class1_probability(model).alias("score"))
+        F.col("is_fraud").alias("label"), class1_probability().alias("score"))
     ev = Evaluation(scored)
     metrics = ev.metric_rows(production_threshold, build_thresholds(production_threshold))
-    return CandidateResult(candidate.name, candidate.ordinal, model, ev.hist, metrics,
+    return CandidateResult(candidate.name, candidate.ordinal, model, scored, metrics,
                            {"evaluation": ev})
 
 
