@@ -74,7 +74,8 @@ def fixed(c, decimals: int) -> Column:
     r = _scaled_round(x, decimals)
     mag = F.abs(r)
     k = 10 ** decimals
-    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    # the sign bit, -0.0 included (printed "-0"): its text form starts with '-'
+    sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
     if decimals == 0:
         body = mag.cast("string")
     else:
