@@ -7,7 +7,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import incoming_df, incoming_row
-from txguard.functions import alert_message, fixed, haversine_km, haversine_km_rounded, round_half_even
+from txguard.functions import (
+    fixed, haversine_km, haversine_km_rounded, round_half_even, with_alert_message, with_fixed,
+    with_haversine_rounded, with_rounded,
+)
 from txguard.operators.features import prepare_features
 
 
@@ -30,10 +33,13 @@ def test_fixed_matches_python_formatting(spark, values, decimals):
     extra = [1736.655, 0.125, 2.675, -0.001, 0.0, 1e-7, 12.345]
     rows = [(float(v),) for v in values + extra]
     df = spark.createDataFrame(rows, "x double")
-    out = df.select("x", fixed("x", decimals).alias("s"), round_half_even("x", decimals).alias("r")).collect()
-    for r in out:
+    out = df.select("x", fixed("x", decimals).alias("s"), round_half_even("x", decimals).alias("r"))
+    staged = with_rounded(with_fixed(out, {"s2": (F.col("x") * 1.0, decimals)}), {"r2": (F.col("x") + 0.0, decimals)})
+    for r in staged.collect():
         assert r["s"] == f"{r['x']:.{decimals}f}", r
+        assert r["s2"] == r["s"], r
         assert r["r"] == round(r["x"], decimals), r
+        assert r["r2"] == r["r"], r
 
 
 def test_fixed_null_and_nan(spark):
@@ -44,11 +50,12 @@ def test_fixed_null_and_nan(spark):
 def test_haversine_forms(spark):
     pts = [(48.8566, 2.3522, 40.7128, -74.0060), (-36.27, 143.15, -27.93, -69.11), (0.0, 0.0, 0.0, 0.0)]
     df = spark.createDataFrame(pts, "a double, b double, c double, d double")
-    out = df.select(haversine_km("a", "b", "c", "d").alias("h1"),
-                    haversine_km_rounded("a", "b", "c", "d").alias("h2")).collect()
+    out = with_haversine_rounded(
+        df.select("*", haversine_km("a", "b", "c", "d").alias("h1"),
+                  haversine_km_rounded("a", "b", "c", "d").alias("h2")), "h3", "a", "b", "c", "d").collect()
     for (a, b, c, d), r in zip(pts, out):
         assert abs(r["h1"] - _py_haversine_asin(a, b, c, d)) < 1e-9
-        assert r["h2"] == _py_haversine_atan2(a, b, c, d)
+        assert r["h2"] == r["h3"] == _py_haversine_atan2(a, b, c, d)
 
 
 def test_features_of_reference_row(spark):
@@ -103,7 +110,7 @@ def test_alert_message_layout(spark):
             "customer_merchant_distance_km double, transaction_time timestamp_ntz, "
             "fraud_probability double, fraud_alert_threshold double")
     df = spark.createDataFrame(rows, cols)
-    got = df.select(alert_message(df).alias("m"), "*").collect()
+    got = with_alert_message(df, "m").collect()
     for r in got:
         assert r["m"] == _py_message(r.asDict()), r["m"]
 

@@ -61,11 +61,25 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(EARTH_RADIUS_KM) * (F.lit(2.0) * F.asin(F.sqrt(a)))
 
 
+def haversine_km_atan2(lat1, lon1, lat2, lon2) -> Column:
+    """The ``2·atan2(√a, √(1−a))`` form, unrounded; NULL when any coordinate is
+    missing or not numeric."""
+    a = _haversine_a(lat1, lon1, lat2, lon2)
+    return F.lit(EARTH_RADIUS_KM) * (F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)))
+
+
 def haversine_km_rounded(lat1, lon1, lat2, lon2) -> Column:
-    """``2·atan2(√a, √(1−a))`` form rounded to 2 decimals; NULL when any
-    coordinate is missing or not numeric."""
+    """F9 as one column expression (fine over column references; over computed
+    inputs prefer ``with_haversine_rounded``, which stages the rounding)."""
     from txguard.functions.formatting import round_half_even
 
-    a = _haversine_a(lat1, lon1, lat2, lon2)
-    c = F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a))
-    return round_half_even(F.lit(EARTH_RADIUS_KM) * c, 2)
+    return round_half_even(haversine_km_atan2(lat1, lon1, lat2, lon2), 2)
+
+
+def with_haversine_rounded(df, out: str, lat1, lon1, lat2, lon2):
+    """adds ``out`` = atan2-form distance rounded to 2 decimals (Python
+    ``round``), computed once per row."""
+    from txguard.functions.formatting import with_rounded
+
+    staged = df.withColumn(out, haversine_km_atan2(lat1, lon1, lat2, lon2))
+    return with_rounded(staged, {out: (F.col(out), 2)})

@@ -5,6 +5,13 @@ form of ``x`` (1736.655 -> "1736.66"), whereas the reference formats the
 exact binary value (1736.655 is 1736.65499999... -> "1736.65").  ``fixed``
 reproduces the exact rounding with an error-free product (Dekker), all in
 codegen'd arithmetic.
+
+The rounding refers to its input about twenty times.  On a column reference
+that is free; on a computed expression Catalyst would inline the expression
+at every reference.  The ``with_*`` helpers therefore stage the work as
+successive projections over named columns (CollapseProject keeps an
+expensive expression that is referenced more than once in its own
+projection), so every value is computed once per row.
 """
 
 from __future__ import annotations
@@ -85,6 +92,67 @@ def fixed(c, decimals: int) -> Column:
     return F.when(_finite(x), F.concat(sign, body))
 
 
+def _text_of_rounded(r: Column, negative: Column, decimals: int) -> Column:
+    mag = F.abs(r)
+    k = 10 ** decimals
+    sign = F.when(negative, F.lit("-")).otherwise(F.lit(""))
+    if decimals == 0:
+        return F.concat(sign, mag.cast("string"))
+    return F.concat(sign, (mag / F.lit(k)).cast("long").cast("string"), F.lit("."),
+                    F.lpad(F.pmod(mag, F.lit(k)).cast("string"), decimals, "0"))
+
+
+def _staged_round(df: DataFrame, specs: dict[str, tuple], tag: str) -> tuple[DataFrame, list[str]]:
+    """Stages ``x`` (finite double or NULL), the exact product ``x·10^d = p + err``
+    and the rounded integer ``r`` for every ``out -> (value, decimals)``."""
+    temps = []
+    stage1 = {}
+    for out, (value, _d) in specs.items():
+        v = to_number(_col(value))
+        stage1[f"__x{tag}_{out}"] = F.when(_finite(v), v)
+    df = df.withColumns(stage1)
+    stage2 = {}
+    for out, (_v, d) in specs.items():
+        x = F.col(f"__x{tag}_{out}")
+        k = F.lit(float(10 ** d))
+        c = x * F.lit(_SPLITTER)
+        hi = c - (c - x)
+        lo = x - hi
+        p = x * k
+        stage2[f"__p{tag}_{out}"] = p
+        stage2[f"__e{tag}_{out}"] = (hi * k - p) + lo * k
+    df = df.withColumns(stage2)
+    stage3 = {}
+    for out in specs:
+        p, e = F.col(f"__p{tag}_{out}"), F.col(f"__e{tag}_{out}")
+        fl = F.floor(p)
+        s_ = (p - fl - F.lit(0.5)) + e
+        bump = (F.when(s_ > 0, F.lit(1)).when(s_ < 0, F.lit(0))
+                .otherwise(F.when(F.pmod(fl, F.lit(2)) == 0, F.lit(0)).otherwise(F.lit(1))))
+        stage3[f"__r{tag}_{out}"] = fl + bump
+        temps += [f"__x{tag}_{out}", f"__p{tag}_{out}", f"__e{tag}_{out}", f"__r{tag}_{out}"]
+    return df.withColumns(stage3), temps
+
+
+def with_rounded(df: DataFrame, specs: dict[str, tuple]) -> DataFrame:
+    """Python ``round(x, d)`` for every ``out -> (value, decimals)``, staged."""
+    staged, temps = _staged_round(df, specs, "r")
+    outs = {out: (F.col(f"__rr_{out}").cast("double") / F.lit(float(10 ** d)))
+            for out, (_v, d) in specs.items()}
+    return staged.withColumns(outs).drop(*temps)
+
+
+def with_fixed(df: DataFrame, specs: dict[str, tuple]) -> DataFrame:
+    """``f"{x:.{d}f}"`` text (NULL when missing) for every ``out -> (value, decimals)``, staged."""
+    staged, temps = _staged_round(df, specs, "f")
+    outs = {}
+    for out, (_v, d) in specs.items():
+        x = F.col(f"__xf_{out}")
+        negative = x.cast("string").startswith("-")
+        outs[out] = F.when(x.isNotNull(), _text_of_rounded(F.col(f"__rf_{out}"), negative, d))
+    return staged.withColumns(outs).drop(*temps)
+
+
 def _or_na(text: Column) -> Column:
     return F.coalesce(text, F.lit(NA))
 
@@ -159,42 +227,55 @@ def _first_dtype(df: DataFrame, names: Sequence[str]) -> T.DataType | None:
     return None
 
 
-def alert_message(df: DataFrame) -> Column:
-    """the 13-line alert text, built from whichever alternative columns exist."""
+def with_alert_message(df: DataFrame, out: str = "message") -> DataFrame:
+    """adds the 13-line alert text, built from whichever alternative
+    columns exist (F13), in staged projections."""
     alt = ALERT_FIELD_ALTERNATIVES
-
-    def text(key):
-        return _or_na(first_present(df, alt[key], "string"))
-
-    def num(key):
-        return first_present(df, alt[key], "double")
-
     dt_names = alt["transaction_datetime"]
-    dt_type = _first_dtype(df, dt_names)
-    if isinstance(dt_type, T.StringType):
-        when_text = format_datetime(first_present(df, dt_names, "string"), T.StringType())
-    else:
-        when_text = format_datetime(first_present(df, dt_names, "timestamp_ntz"))
+    dt_is_text = isinstance(_first_dtype(df, dt_names), T.StringType)
+    values = {
+        "__m_tn": first_present(df, alt["trans_num"], "string"),
+        "__m_merchant": first_present(df, alt["merchant"], "string"),
+        "__m_category": first_present(df, alt["category"], "string"),
+        "__m_customer": first_present(df, alt["customer_id"], "string"),
+        "__m_city": first_present(df, alt["city"], "string"),
+        "__m_state": first_present(df, alt["state"], "string"),
+        "__m_dt": first_present(df, dt_names, "string" if dt_is_text else "timestamp_ntz"),
+    }
+    numbers = {
+        "__m_prob": ("fraud_probability", 4), "__m_thr": ("fraud_alert_threshold", 2),
+        "__m_amt": ("amount", 2), "__m_clat": ("customer_lat", CUSTOMER_COORD_DECIMALS),
+        "__m_clon": ("customer_lon", CUSTOMER_COORD_DECIMALS),
+        "__m_mlat": ("merchant_lat", MERCHANT_COORD_DECIMALS),
+        "__m_mlon": ("merchant_lon", MERCHANT_COORD_DECIMALS), "__m_dist": ("distance_km", 2),
+    }
+    for name, (key, _d) in numbers.items():
+        values[name + "_v"] = first_present(df, alt[key], "double")
+    staged = with_fixed(df.withColumns(values),
+                        {name: (F.col(name + "_v"), d) for name, (_k, d) in numbers.items()})
+    c = F.col
+
+    def coords(lat, lon):
+        return _or_na(F.concat(c(lat), F.lit(", "), c(lon)))
+    when_text = (format_datetime(c("__m_dt"), T.StringType()) if dt_is_text
+                 else format_datetime(c("__m_dt")))
     lab = MESSAGE_LABELS
     pieces = [
-        F.lit(MESSAGE_HEADER + "\n\n" + lab[0]), text("trans_num"),
-        F.lit("\n" + lab[1]), format_probability(num("fraud_probability")),
-        F.lit("\n" + lab[2]), format_threshold(num("fraud_alert_threshold")),
-        F.lit("\n\n" + lab[3]), format_amount(num("amount")),
-        F.lit("\n" + lab[4]), text("merchant"),
-        F.lit("\n" + lab[5]), text("category"),
-        F.lit("\n" + lab[6]), text("customer_id"),
-        F.lit("\n\n" + lab[7]),
-        location_text(first_present(df, alt["city"], "string"),
-                      first_present(df, alt["state"], "string")),
-        F.lit("\n" + lab[8]),
-        format_coordinates(num("customer_lat"), num("customer_lon"), CUSTOMER_COORD_DECIMALS),
-        F.lit("\n" + lab[9]),
-        format_coordinates(num("merchant_lat"), num("merchant_lon"), MERCHANT_COORD_DECIMALS),
-        F.lit("\n" + lab[10]), format_distance(num("distance_km")),
+        F.lit(MESSAGE_HEADER + "\n\n" + lab[0]), _or_na(c("__m_tn")),
+        F.lit("\n" + lab[1]), _or_na(c("__m_prob")),
+        F.lit("\n" + lab[2]), _or_na(c("__m_thr")),
+        F.lit("\n\n" + lab[3]), _or_na(F.concat(c("__m_amt"), F.lit(AMOUNT_UNIT))),
+        F.lit("\n" + lab[4]), _or_na(c("__m_merchant")),
+        F.lit("\n" + lab[5]), _or_na(c("__m_category")),
+        F.lit("\n" + lab[6]), _or_na(c("__m_customer")),
+        F.lit("\n\n" + lab[7]), location_text(c("__m_city"), c("__m_state")),
+        F.lit("\n" + lab[8]), coords("__m_clat", "__m_clon"),
+        F.lit("\n" + lab[9]), coords("__m_mlat", "__m_mlon"),
+        F.lit("\n" + lab[10]), _or_na(F.concat(c("__m_dist"), F.lit(DISTANCE_UNIT))),
         F.lit("\n\n" + lab[11]), when_text,
     ]
-    return F.concat(*pieces)
+    temps = [n for n in staged.columns if n.startswith("__m_")]
+    return staged.withColumn(out, F.concat(*pieces)).drop(*temps)
 
 
 def threshold_label(t) -> Column:

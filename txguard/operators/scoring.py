@@ -23,8 +23,10 @@ from txguard.schemas import DEFAULT_ALERT_THRESHOLD
 def decision(prob: Column, threshold: float) -> Column:
     """``p >= threshold`` as 0/1.  NaN/NULL -> 0 (Spark orders NaN above
     every number, numpy compares it as False)."""
-    hit = prob.isNotNull() & ~F.isnan(prob) & (prob >= F.lit(float(threshold)))
-    return hit.cast("int")
+    # one reference to ``prob``: the expression is inlined wherever the decision
+    # is used (a pushed-down filter included), so it must stay small
+    hit = F.nanvl(prob, F.lit(float("-inf"))) >= F.lit(float(threshold))
+    return F.coalesce(hit.cast("int"), F.lit(0))
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from txguard.functions import (
     customer_age, first_present, fixed, format_amount, format_coordinates,
     format_datetime, format_distance, format_probability, format_threshold,
-    haversine_km, haversine_km_rounded, is_weekend, location_text, to_number,
+    haversine_km, is_weekend, location_text, to_number, with_haversine_rounded,
     to_timestamp_lenient, transaction_dayofweek, transaction_hour, transaction_month,
 )
 from txguard.operators.alerts import alert_messages, alert_rows, new_alerts, predicted_frauds
@@ -342,8 +342,8 @@ for _id, _name, _fn, _sql, _rnd in [
  round(round(6371.0 * (2.0 * atan2(sqrt(a), sqrt(1.0 - a))), 2), 6) AS distance_km
 FROM (SELECT trans_num, {_HAV_A} FROM transactions) x""")
 def f9(spark, sf):
-    return tx(spark, sf).select(
-        "trans_num", F.round(haversine_km_rounded("lat", "long", "merch_lat", "merch_long"), 6).alias("distance_km"))
+    d = with_haversine_rounded(tx(spark, sf), "distance_km", "lat", "long", "merch_lat", "merch_long")
+    return d.select("trans_num", F.round("distance_km", 6).alias("distance_km"))
 
 
 @register("f10_to_date", """SELECT trans_num, CAST("current_time" AS DATE) AS transaction_date FROM transactions""")
