@@ -90,3 +90,12 @@ def test_merge_invariants(spark, base_keys, new_keys):
     assert m.merged.count() == train.count() + len(integrated)
     # idempotent: merging the merged set with the same batch adds nothing
     assert merge_training_set(m.merged, new).integrated.count() == 0
+
+
+def test_thresholds_union(spark):
+    from txguard.operators.metrics import build_thresholds, thresholds_column, thresholds_union
+    assert build_thresholds(0.9) == [0.5, 0.6, 0.7, 0.8, 0.9, 0.95]
+    assert build_thresholds(0.85) == [0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.95]
+    df = spark.createDataFrame([(0.85,), (0.9,)], "fraud_alert_threshold double")
+    assert thresholds_union(df).first()[0] == [0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.95]
+    assert spark.range(1).select(thresholds_column(0.75)).first()[0] == [0.5, 0.6, 0.7, 0.75, 0.8, 0.9, 0.95]

@@ -38,6 +38,15 @@ def thresholds_column(production_threshold: float = DEFAULT_ALERT_THRESHOLD,
     return F.array_sort(F.array_distinct(F.array_union(base, F.array(F.lit(float(production_threshold))))))
 
 
+def thresholds_union(predictions: DataFrame, defaults: Sequence[float] = DEFAULT_THRESHOLDS,
+                     column: str = "fraud_alert_threshold") -> DataFrame:
+    """O2 + U2 over data: the default thresholds united with every production
+    threshold found in ``predictions``, sorted and distinct (one row, one array)."""
+    base = F.array(*[F.lit(float(t)) for t in defaults])
+    return predictions.agg(F.collect_set(F.col(column).cast("double")).alias("_p")).select(
+        F.array_sort(F.array_union(base, F.col("_p"))).alias("thresholds"))
+
+
 def _safe_ratio(num: Column, den: Column) -> Column:
     """``zero_division=0``."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))

@@ -16,7 +16,9 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.operators.ranking import exact_medians, pinned_ranges, running_sums
+from txguard.operators.ranking import (
+    medians_from_histogram, pinned_ranges, running_sums, value_histogram,
+)
 from txguard.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 FEATURES_VECTOR = "features"
@@ -31,18 +33,29 @@ def fit_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES) -> Dat
     """M3 fit (A16 + A18): ``(feature, median, mean, scale)``; the mean and the
     population standard deviation are taken after median imputation, and a
     zero deviation scales by 1."""
-    medians = exact_medians(df, columns)
-    long = _stack(df, columns, "DOUBLE").withColumn(
-        "value", F.when(~F.isnan("value"), F.col("value")))
-    # the median table has one row per feature: joining it is a broadcast by size
-    imputed = long.join(F.broadcast(medians), "feature", "left").withColumn(
-        "value", F.coalesce("value", "median"))
-    stats = imputed.groupBy("feature").agg(
-        F.first("median", ignorenulls=True).alias("median"),
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
-    return stats.select("feature", "median", "mean",
-                        F.when((F.col("std") == 0) | F.col("std").isNull(), F.lit(1.0))
-                        .otherwise(F.col("std")).alias("scale"))
+    # one scan of the input: the per-value histogram (checkpointed inside the
+    # median search) also gives the moments of the imputed column
+    hist = value_histogram(df, columns).persist()
+    try:
+        medians = medians_from_histogram(hist)
+        # one row per feature: a broadcast by construction
+        imputed = hist.join(F.broadcast(medians), "feature", "left").withColumn(
+            "value", F.coalesce("value", "median"))
+        means = imputed.groupBy("feature").agg(
+            F.first("median", ignorenulls=True).alias("median"),
+            (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
+        # second pass over the (small) histogram: centred moment, stable
+        var = imputed.join(F.broadcast(means.select("feature", "mean")), "feature").groupBy("feature").agg(
+            (F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)) / F.sum("n")).alias("var"))
+        stats = means.join(var, "feature").withColumn("std", F.sqrt("var"))
+        out = stats.select("feature", "median", "mean",
+                           F.when((F.col("std") == 0) | F.col("std").isNull(), F.lit(1.0))
+                           .otherwise(F.col("std")).alias("scale"))
+        # materialise the ~13-row result (shared checkpoint folder) before the
+        # histogram is released, so later uses never rescan the input
+        return out.checkpoint(eager=True)
+    finally:
+        hist.unpersist()
 
 
 def category_modes(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:

@@ -64,10 +64,20 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Columns are stacked to ``(feature, value)``, counted per distinct value
     (partial aggregation), and the middle ranks are found with ``running_sums``
     — no task ever holds all values of a column."""
+    return medians_from_histogram(value_histogram(df, columns))
+
+
+def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(feature, value, n)``: rows per distinct value of every column (NaN and
+    NULL counted together under a NULL value), partially aggregated map-side."""
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
-    long = df.selectExpr(f"stack({len(columns)}, {stack}) AS (feature, value)") \
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-    hist = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = df.selectExpr(f"stack({len(columns)}, {stack}) AS (feature, value)")
+    long = long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
+    return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def medians_from_histogram(hist_all: DataFrame) -> DataFrame:
+    hist = hist_all.where(F.col("value").isNotNull())
     ranged = pinned_ranges(hist, ["feature"], "value")
     cum = running_sums(ranged, ["feature"], "value", ["n"])
     total = hist.groupBy("feature").agg(F.sum("n").alias("_N"))

@@ -178,6 +178,27 @@ def a15(spark, sf):
     return best.select("model", "ordinal", r6("average_precision").alias("average_precision"))
 
 
+_DEFAULT_THR_SQL = ", ".join(f"({dbl(t)})" for t in [0.5, 0.6, 0.7, 0.8, 0.9, 0.95])
+
+
+@register("o2_threshold_set", f"""WITH {scored_cte()}
+SELECT array_to_string(list_sort(list_distinct(list(t))), ',') AS thresholds FROM (
+ SELECT t FROM (VALUES {_DEFAULT_THR_SQL}) v(t) UNION ALL SELECT DISTINCT fraud_alert_threshold FROM scored2) x""")
+def o2(spark, sf):
+    from txguard.operators.metrics import thresholds_union
+    return thresholds_union(predict_fraud(V(spark, sf, "transactions"))).select(
+        F.array_join(F.transform("thresholds", lambda t: t.cast("string")), ",").alias("thresholds"))
+
+
+@register("u2_threshold_union", f"""WITH {scored_cte()}
+SELECT DISTINCT t AS threshold FROM (SELECT t FROM (VALUES {_DEFAULT_THR_SQL}) v(t)
+ UNION ALL SELECT fraud_alert_threshold FROM scored2) x""")
+def u2(spark, sf):
+    from txguard.operators.metrics import thresholds_union
+    return thresholds_union(predict_fraud(V(spark, sf, "transactions"))).select(
+        F.explode("thresholds").alias("threshold"))
+
+
 # ------------------------------------------------------------------ preprocessing fits
 
 _NUM_LIST = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in NUMERIC_FEATURES)
@@ -199,7 +220,9 @@ def _numeric_fit(spark, sf):
 
 @register("a16_median_impute", f"WITH {_NUM_CTE} SELECT feature, round(median, 6) AS median FROM fit")
 def a16(spark, sf):
-    return _numeric_fit(spark, sf).select("feature", r6("median").alias("median"))
+    from txguard.operators.ranking import exact_medians
+    feats = prepare_features(V(spark, sf, "transactions"))
+    return exact_medians(feats, NUMERIC_FEATURES).select("feature", r6("median").alias("median"))
 
 
 @register("a18_scaler_fit", f"""WITH {_NUM_CTE}
