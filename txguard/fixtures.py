@@ -74,6 +74,15 @@ _LABELED_NEW = """
 SELECT trans_num, amt, is_fraud, merchant FROM {transactions} WHERE CAST(trans_num AS BIGINT) % 10 >= 5
 """
 
+# Spark text of transactions_dirty: the same rows, but the two copies come from
+# a generator over each row instead of a cross join with a two-row table
+_TRANSACTIONS_DIRTY_SPARK = _TRANSACTIONS_DIRTY.replace(
+    """ FROM (SELECT t.*, CAST(t.trans_num AS BIGINT) AS k, c.copy_no FROM {transactions} t
+       CROSS JOIN (SELECT 1 AS copy_no UNION ALL SELECT 2 AS copy_no) c) x""",
+    """ FROM (SELECT t.*, CAST(t.trans_num AS BIGINT) AS k, copy_no FROM {transactions} t
+       LATERAL VIEW explode(array(1, 2)) c AS copy_no) x""")
+assert _TRANSACTIONS_DIRTY_SPARK != _TRANSACTIONS_DIRTY
+
 # view name -> (template, views it reads)
 VIEWS = {
     "transactions": (_TRANSACTIONS, ["orders", "customer", "nation", "region", "supplier", "part"]),
@@ -101,8 +110,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+_SPARK_TEMPLATES = {"transactions_dirty": _TRANSACTIONS_DIRTY_SPARK}
+
+
 def _spark_text(name: str) -> str:
     template, deps = VIEWS[name]
+    template = _SPARK_TEMPLATES.get(name, template)
     return template.format(**_SPARK_DIALECT, **{d: "{" + d + "}" for d in deps})
 
 

@@ -45,7 +45,7 @@ def _key_bigint():
 @register("s1_parse_payload", f"SELECT {TX_SQL_COLS} FROM transactions")
 def s1(spark, sf):
     t = tx(spark, sf).select(*TX_COLS)
-    docs = to_split_payloads(t, F.floor(_key_bigint() / 1000))
+    docs = to_split_payloads(t)
     return parse_payloads(docs).select(*TX_COLS)
 
 

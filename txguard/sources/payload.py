@@ -86,12 +86,19 @@ def parse_payloads(docs: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA,
     return rows.select(*fields)
 
 
-def to_split_payloads(df: DataFrame, chunk: Column) -> DataFrame:
-    """Encode ``df`` as split-shaped documents, one per value of ``chunk``.
-    The caller picks a chunk key with a bounded number of rows per value so
-    that every document stays small."""
+ROWS_PER_DOCUMENT = 1000
+
+
+def to_split_payloads(df: DataFrame, chunk: Column | None = None,
+                      rows_per_document: int = ROWS_PER_DOCUMENT) -> DataFrame:
+    """Encode ``df`` as split-shaped documents.  By default a document holds at
+    most ``rows_per_document`` consecutive rows of one input partition
+    (``monotonically_increasing_id`` is partition-offset based), so no document
+    grows with a skewed key; ``chunk`` overrides the grouping."""
     cols = df.columns
     row = F.array(*[F.col(c).cast("string") for c in cols])
+    if chunk is None:
+        chunk = F.floor(F.monotonically_increasing_id() / F.lit(rows_per_document))
     grouped = df.groupBy(chunk.alias("_chunk")).agg(F.collect_list(row).alias("_rows"))
     return grouped.select(
         "_chunk",
