@@ -26,3 +26,16 @@ def test_plans_have_no_python_udf(spark):
                  "a16_median_impute"]:
         plan = q[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_no_cross_joins_or_python_in_any_registered_plan(spark):
+    """Plan hygiene over every registered query (MLlib training excluded: slow)."""
+    bad_words = ["BroadcastNestedLoopJoin", "CartesianProduct", "PythonUDF", "BatchEvalPython",
+                 "ArrowEvalPython"]
+    bad = []
+    for name, fn in E.queries().items():
+        if name.startswith(("m7_", "m8_", "m9_")):
+            continue
+        plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        bad += [(name, w) for w in bad_words if w in plan]
+    assert bad == []

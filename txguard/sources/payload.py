@@ -60,16 +60,20 @@ def payload_rows(payload: Column) -> Column:
             .when(shape == "columns", from_cols))
 
 
+def _from_epoch_millis(text: Column) -> Column:
+    """Epoch milliseconds -> wall-clock TIMESTAMP_NTZ in UTC (no session time zone)."""
+    millis = F.when(text.rlike(r"^-?[0-9]+$"), text.try_cast("bigint"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MILLISECOND", millis, epoch)
+
+
 def _coerce(text: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         # ISO text, or epoch milliseconds (pandas' default date encoding)
-        millis = F.when(text.rlike(r"^-?[0-9]+$"), text.try_cast("bigint"))
-        return F.coalesce(text.try_cast("timestamp_ntz"),
-                          F.timestamp_millis(millis).cast("timestamp_ntz"))
+        return F.coalesce(text.try_cast("timestamp_ntz"), _from_epoch_millis(text))
     if isinstance(dtype, T.DateType):
-        millis = F.when(text.rlike(r"^-?[0-9]+$"), text.try_cast("bigint"))
         return F.coalesce(text.try_cast("timestamp_ntz").cast("date"),
-                          F.to_date(F.timestamp_millis(millis)))
+                          F.to_date(_from_epoch_millis(text)))
     if isinstance(dtype, (T.LongType, T.IntegerType)):
         # integral values may arrive as JSON floats (1.0)
         return F.coalesce(text.try_cast(dtype), text.try_cast("double").try_cast(dtype))
