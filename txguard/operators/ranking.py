@@ -77,14 +77,33 @@ def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def medians_from_histogram(hist_all: DataFrame) -> DataFrame:
+    """Exact medians from a ``(feature, value, n)`` histogram.
+
+    Only the (at most two) value ranges holding the middle ranks of a feature
+    need running counts: range totals locate them (a ``features x ranges``
+    table), and the window runs over the rows of those ranges alone."""
     hist = hist_all.where(F.col("value").isNotNull())
     ranged = pinned_ranges(hist, ["feature"], "value")
-    cum = running_sums(ranged, ["feature"], "value", ["n"])
-    total = hist.groupBy("feature").agg(F.sum("n").alias("_N"))
+    totals = ranged.groupBy("feature", RANGE_ID).agg(F.sum("n").alias("_t"))
+    before = Window.partitionBy("feature").orderBy(RANGE_ID).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy("feature")
+    located = totals.select(
+        "feature", RANGE_ID, "_t",
+        F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"),
+        F.sum("_t").over(everything).alias("_N"))
     lo_rank = F.floor((F.col("_N") + 1) / 2)       # 1-based ranks of the middle pair
     hi_rank = F.ceil((F.col("_N") + 1) / 2)
-    hit = cum.join(total, "feature").where(
-        ((F.col("cn") - F.col("n") < lo_rank) & (F.col("cn") >= lo_rank))
-        | ((F.col("cn") - F.col("n") < hi_rank) & (F.col("cn") >= hi_rank)))
+
+    def inside(rank):
+        return (F.col("_o") < rank) & (rank <= F.col("_o") + F.col("_t"))
+    # at most two rows per feature: a broadcast by construction
+    targets = located.where(inside(lo_rank) | inside(hi_rank)).select(
+        "feature", RANGE_ID, "_o", lo_rank.alias("_lo_rank"), hi_rank.alias("_hi_rank"))
+    rows = ranged.join(F.broadcast(targets), ["feature", RANGE_ID])
+    within = (Window.partitionBy("feature", RANGE_ID).orderBy("value")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cum = rows.withColumn("cn", F.sum("n").over(within) + F.col("_o"))
+    hit = cum.where(((F.col("cn") - F.col("n") < F.col("_lo_rank")) & (F.col("cn") >= F.col("_lo_rank")))
+                    | ((F.col("cn") - F.col("n") < F.col("_hi_rank")) & (F.col("cn") >= F.col("_hi_rank"))))
     picked = hit.groupBy("feature").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     return picked.select("feature", ((F.col("_lo") + F.col("_hi")) / 2).alias("median"))

@@ -323,13 +323,14 @@ def m12(spark, sf):
 def registry_tables(spark, sf):
     """``model_metrics`` and ``model_alias_events`` derived from the evaluation:
     version 1 is the champion, version 2 the registered challenger."""
-    rows = evaluation(spark, sf).metric_rows(0.9, THRESHOLDS)
+    ev = evaluation(spark, sf)
+    rows = ev.metric_rows(0.9, THRESHOLDS)
     version = F.when(F.col("model") == "champion", 1).otherwise(2).cast("long")
     # the registered name is a per-row value (as in a real registry table), not a
     # literal that Catalyst would fold away from the pairing's join key
     name = F.when(F.col("model").isNotNull(), F.lit(MODEL_NAME))
     metrics = rows.select(name.alias("model_name"), version.alias("version"), "metric", "value")
-    models = rows.select("model").distinct()
+    models = ev.hist.select("model").distinct()     # from the pinned histogram: no metric recompute
     events = models.select(name.alias("model_name"), F.col("model").alias("alias"),
                            version.alias("version"), F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").alias("at"),
                            version.alias("seq"))
