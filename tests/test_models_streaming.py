@@ -99,3 +99,18 @@ def test_windowed_stream(spark, scratch):
     batch = st.fraud_rate_windows(t)
     # append mode emits only windows closed by the watermark: all but the last
     assert got.count() == batch.count() - 1
+
+
+def test_predict_fraud_with_fitted_pipeline(spark):
+    from txguard.operators.alerts import new_alerts
+    from txguard.operators.scoring import PipelineScorer, predict_fraud
+    train, test = _train_test(spark)
+    cand = build_candidates(float(train.count()), include_boosted=False)[0]
+    res = fit_candidate(cand, train, test, 0.9)
+    batch = view(spark, SF_SMALL, "transactions")
+    scored = predict_fraud(batch, PipelineScorer(res.model, "lr"), threshold=0.9, model_alias="champion")
+    assert set(batch.columns) <= set(scored.columns)
+    rows = scored.select("fraud_probability", "is_fraud_predicted", "model_name").collect()
+    assert len(rows) == 1500
+    assert all(0.0 <= r[0] <= 1.0 and r[1] == int(r[0] >= 0.9) and r[2] == "lr" for r in rows)
+    assert new_alerts(scored, None).count() == sum(r[1] for r in rows)

@@ -81,3 +81,23 @@ def test_parquet_scan_prunes_and_pushes_down(spark, scratch):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(amt), GreaterThan(amt,1000.0)]" in plan
     assert "ReadSchema: struct<trans_num:string,amt:double>" in plan
+
+
+def test_insert_if_absent_is_idempotent(spark):
+    from txguard.operators.dedupe import insert_if_absent
+    batch = spark.createDataFrame([("a", 2), ("a", 1), ("b", 1), (None, 1)], "trans_num string, seq int")
+    first = insert_if_absent(batch, None, order_cols=("seq",))
+    assert sorted(tuple(r) for r in first.collect()) == [("a", 1), ("b", 1)]
+    assert insert_if_absent(batch, first, order_cols=("seq",)).count() == 0
+
+
+def test_landing_formats(spark, scratch):
+    t = view(spark, SF_SMALL, "transactions")
+    from txguard.schemas import TRANSACTION_SCHEMA
+    cols = [f.name for f in TRANSACTION_SCHEMA.fields]
+    t.select(*cols).write.parquet(scratch + "/p")
+    t.select(*cols).write.option("header", "true").csv(scratch + "/c")
+    a = files.read_landing(spark, scratch + "/p", "parquet")
+    b = files.read_landing(spark, scratch + "/c", "csv")
+    assert a.count() == b.count() == 1500
+    assert a.exceptAll(b).count() == 0
