@@ -195,6 +195,12 @@ def raise_if_failed(results: DataFrame, context: str) -> None:
         raise DataQualityError(f"validation failed: {context}\n{lines}")
 
 
+def require_non_empty(df: DataFrame, context: str) -> None:
+    """S3: an empty batch is an error (reads at most one row)."""
+    if df.isEmpty():
+        raise DataQualityError(f"empty batch: {context}")
+
+
 def check_columns(df: DataFrame, required: list[str]) -> list[str]:
     """Q1 / Q6: required columns absent from the frame (plan time)."""
     return [c for c in required if c not in df.columns]
