@@ -102,54 +102,88 @@ def _text_of_rounded(r: Column, negative: Column, decimals: int) -> Column:
                     F.lpad(F.pmod(mag, F.lit(k)).cast("string"), decimals, "0"))
 
 
+def _q(name: str) -> str:
+    """Back-quoted column name for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_str(text: str) -> str:
+    """SQL string literal (backslash escapes on, the Spark default)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _dbl(v: float) -> str:
+    return repr(float(v)) + "D"
+
+
+def _sql_finite(x: str) -> str:
+    return f"({x} IS NOT NULL AND NOT isnan({x}) AND abs({x}) != CAST('Infinity' AS DOUBLE))"
+
+
 def _staged_round(df: DataFrame, specs: dict[str, tuple], tag: str) -> tuple[DataFrame, list[str]]:
     """Stages ``x`` (finite double or NULL), the exact product ``x·10^d = p + err``
-    and the rounded integer ``r`` for every ``out -> (value, decimals)``."""
+    and the rounded integer ``r`` for every ``out -> (value, decimals)``.
+
+    The stages after the numeric coercion are SQL expression text: one parse
+    per column on the driver instead of dozens of expression-builder calls."""
     temps = []
+    stage0 = {f"__i{tag}_{out}": to_number(_col(value)) for out, (value, _d) in specs.items()}
+    df = df.withColumns(stage0)
     stage1 = {}
-    for out, (value, _d) in specs.items():
-        v = to_number(_col(value))
-        stage1[f"__x{tag}_{out}"] = F.when(_finite(v), v)
+    for out in specs:
+        i = _q(f"__i{tag}_{out}")
+        stage1[f"__x{tag}_{out}"] = F.expr(f"CASE WHEN {_sql_finite(i)} THEN {i} END")
     df = df.withColumns(stage1)
     stage2 = {}
     for out, (_v, d) in specs.items():
-        x = F.col(f"__x{tag}_{out}")
-        k = F.lit(float(10 ** d))
-        c = x * F.lit(_SPLITTER)
-        hi = c - (c - x)
-        lo = x - hi
-        p = x * k
-        stage2[f"__p{tag}_{out}"] = p
-        stage2[f"__e{tag}_{out}"] = (hi * k - p) + lo * k
+        x, k = _q(f"__x{tag}_{out}"), _dbl(10 ** d)
+        c = f"({x} * {_dbl(_SPLITTER)})"
+        hi = f"({c} - ({c} - {x}))"
+        lo = f"({x} - {hi})"
+        p = f"({x} * {k})"
+        stage2[f"__p{tag}_{out}"] = F.expr(p)
+        stage2[f"__e{tag}_{out}"] = F.expr(f"(({hi} * {k} - {p}) + {lo} * {k})")
     df = df.withColumns(stage2)
     stage3 = {}
     for out in specs:
-        p, e = F.col(f"__p{tag}_{out}"), F.col(f"__e{tag}_{out}")
-        fl = F.floor(p)
-        s_ = (p - fl - F.lit(0.5)) + e
-        bump = (F.when(s_ > 0, F.lit(1)).when(s_ < 0, F.lit(0))
-                .otherwise(F.when(F.pmod(fl, F.lit(2)) == 0, F.lit(0)).otherwise(F.lit(1))))
-        stage3[f"__r{tag}_{out}"] = fl + bump
-        temps += [f"__x{tag}_{out}", f"__p{tag}_{out}", f"__e{tag}_{out}", f"__r{tag}_{out}"]
+        p, e = _q(f"__p{tag}_{out}"), _q(f"__e{tag}_{out}")
+        fl = f"floor({p})"
+        s_ = f"(({p} - {fl} - 0.5D) + {e})"
+        bump = (f"CASE WHEN {s_} > 0 THEN 1 WHEN {s_} < 0 THEN 0 "
+                f"ELSE CASE WHEN pmod({fl}, 2) = 0 THEN 0 ELSE 1 END END")
+        stage3[f"__r{tag}_{out}"] = F.expr(f"{fl} + {bump}")
+        temps += [f"__i{tag}_{out}", f"__x{tag}_{out}", f"__p{tag}_{out}",
+                  f"__e{tag}_{out}", f"__r{tag}_{out}"]
     return df.withColumns(stage3), temps
 
 
 def with_rounded(df: DataFrame, specs: dict[str, tuple]) -> DataFrame:
     """Python ``round(x, d)`` for every ``out -> (value, decimals)``, staged."""
     staged, temps = _staged_round(df, specs, "r")
-    outs = {out: (F.col(f"__rr_{out}").cast("double") / F.lit(float(10 ** d)))
+    outs = {out: F.expr(f"CAST({_q(f'__rr_{out}')} AS DOUBLE) / {_dbl(10 ** d)}")
             for out, (_v, d) in specs.items()}
     return staged.withColumns(outs).drop(*temps)
 
 
+def _sql_text_of_rounded(r: str, negative: str, decimals: int) -> str:
+    sign = f"CASE WHEN {negative} THEN '-' ELSE '' END"
+    mag = f"abs({r})"
+    if decimals == 0:
+        return f"concat({sign}, CAST({mag} AS STRING))"
+    k = 10 ** decimals
+    return (f"concat({sign}, CAST(CAST({mag} / {k} AS BIGINT) AS STRING), '.', "
+            f"lpad(CAST(pmod({mag}, {k}) AS STRING), {decimals}, '0'))")
+
+
 def with_fixed(df: DataFrame, specs: dict[str, tuple]) -> DataFrame:
     """``f"{x:.{d}f}"`` text (NULL when missing) for every ``out -> (value, decimals)``, staged."""
     staged, temps = _staged_round(df, specs, "f")
     outs = {}
     for out, (_v, d) in specs.items():
-        x = F.col(f"__xf_{out}")
-        negative = x.cast("string").startswith("-")
-        outs[out] = F.when(x.isNotNull(), _text_of_rounded(F.col(f"__rf_{out}"), negative, d))
+        x = _q(f"__xf_{out}")
+        negative = f"startswith(CAST({x} AS STRING), '-')"
+        text = _sql_text_of_rounded(_q(f"__rf_{out}"), negative, d)
+        outs[out] = F.expr(f"CASE WHEN {x} IS NOT NULL THEN {text} END")
     return staged.withColumns(outs).drop(*temps)
 
 
@@ -227,20 +261,39 @@ def _first_dtype(df: DataFrame, names: Sequence[str]) -> T.DataType | None:
     return None
 
 
+_ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
+
+
+def _first_present_sql(fields: dict, names: Sequence[str], as_type: str) -> str:
+    """F13 as SQL text (see ``first_present``)."""
+    parts = []
+    for n in names:
+        if n not in fields:
+            continue
+        c = _q(n)
+        if isinstance(fields[n], (T.DoubleType, T.FloatType)):
+            c = f"CASE WHEN NOT isnan({c}) THEN {c} END"
+        parts.append(f"CAST({c} AS {as_type})")
+    if not parts:
+        return f"CAST(NULL AS {as_type})"
+    return parts[0] if len(parts) == 1 else f"coalesce({', '.join(parts)})"
+
+
 def with_alert_message(df: DataFrame, out: str = "message") -> DataFrame:
     """adds the 13-line alert text, built from whichever alternative
-    columns exist (F13), in staged projections."""
+    columns exist (F13), in staged projections of SQL expression text."""
     alt = ALERT_FIELD_ALTERNATIVES
+    fields = {f.name: f.dataType for f in df.schema.fields}
     dt_names = alt["transaction_datetime"]
     dt_is_text = isinstance(_first_dtype(df, dt_names), T.StringType)
     values = {
-        "__m_tn": first_present(df, alt["trans_num"], "string"),
-        "__m_merchant": first_present(df, alt["merchant"], "string"),
-        "__m_category": first_present(df, alt["category"], "string"),
-        "__m_customer": first_present(df, alt["customer_id"], "string"),
-        "__m_city": first_present(df, alt["city"], "string"),
-        "__m_state": first_present(df, alt["state"], "string"),
-        "__m_dt": first_present(df, dt_names, "string" if dt_is_text else "timestamp_ntz"),
+        "__m_tn": _first_present_sql(fields, alt["trans_num"], "STRING"),
+        "__m_merchant": _first_present_sql(fields, alt["merchant"], "STRING"),
+        "__m_category": _first_present_sql(fields, alt["category"], "STRING"),
+        "__m_customer": _first_present_sql(fields, alt["customer_id"], "STRING"),
+        "__m_city": _first_present_sql(fields, alt["city"], "STRING"),
+        "__m_state": _first_present_sql(fields, alt["state"], "STRING"),
+        "__m_dt": _first_present_sql(fields, dt_names, "STRING" if dt_is_text else "TIMESTAMP_NTZ"),
     }
     numbers = {
         "__m_prob": ("fraud_probability", 4), "__m_thr": ("fraud_alert_threshold", 2),
@@ -250,32 +303,45 @@ def with_alert_message(df: DataFrame, out: str = "message") -> DataFrame:
         "__m_mlon": ("merchant_lon", MERCHANT_COORD_DECIMALS), "__m_dist": ("distance_km", 2),
     }
     for name, (key, _d) in numbers.items():
-        values[name + "_v"] = first_present(df, alt[key], "double")
-    staged = with_fixed(df.withColumns(values),
+        values[name + "_v"] = _first_present_sql(fields, alt[key], "DOUBLE")
+    staged = with_fixed(df.withColumns({k: F.expr(v) for k, v in values.items()}),
                         {name: (F.col(name + "_v"), d) for name, (_k, d) in numbers.items()})
-    c = F.col
 
-    def coords(lat, lon):
-        return _or_na(F.concat(c(lat), F.lit(", "), c(lon)))
-    when_text = (format_datetime(c("__m_dt"), T.StringType()) if dt_is_text
-                 else format_datetime(c("__m_dt")))
+    na = _sql_str(NA)
+
+    def or_na(text: str) -> str:
+        return f"coalesce({text}, {na})"
+
+    def coords(lat: str, lon: str) -> str:
+        return or_na(f"concat({_q(lat)}, ', ', {_q(lon)})")
+
+    dt = _q("__m_dt")
+    if dt_is_text:
+        when_text = or_na(dt)
+    else:
+        base = f"date_format({dt}, {_sql_str(_ISO_SECONDS)})"
+        frac = f"date_format({dt}, 'SSSSSS')"
+        when_text = or_na(f"CASE WHEN {frac} = '000000' THEN {base} ELSE concat({base}, '.', {frac}) END")
+    city = f"nullif(CAST({_q('__m_city')} AS STRING), '')"
+    state = f"nullif(CAST({_q('__m_state')} AS STRING), '')"
+    location = or_na(f"nullif(concat_ws(', ', {city}, {state}), '')")
     lab = MESSAGE_LABELS
     pieces = [
-        F.lit(MESSAGE_HEADER + "\n\n" + lab[0]), _or_na(c("__m_tn")),
-        F.lit("\n" + lab[1]), _or_na(c("__m_prob")),
-        F.lit("\n" + lab[2]), _or_na(c("__m_thr")),
-        F.lit("\n\n" + lab[3]), _or_na(F.concat(c("__m_amt"), F.lit(AMOUNT_UNIT))),
-        F.lit("\n" + lab[4]), _or_na(c("__m_merchant")),
-        F.lit("\n" + lab[5]), _or_na(c("__m_category")),
-        F.lit("\n" + lab[6]), _or_na(c("__m_customer")),
-        F.lit("\n\n" + lab[7]), location_text(c("__m_city"), c("__m_state")),
-        F.lit("\n" + lab[8]), coords("__m_clat", "__m_clon"),
-        F.lit("\n" + lab[9]), coords("__m_mlat", "__m_mlon"),
-        F.lit("\n" + lab[10]), _or_na(F.concat(c("__m_dist"), F.lit(DISTANCE_UNIT))),
-        F.lit("\n\n" + lab[11]), when_text,
+        _sql_str(MESSAGE_HEADER + "\n\n" + lab[0]), or_na(_q("__m_tn")),
+        _sql_str("\n" + lab[1]), or_na(_q("__m_prob")),
+        _sql_str("\n" + lab[2]), or_na(_q("__m_thr")),
+        _sql_str("\n\n" + lab[3]), or_na(f"concat({_q('__m_amt')}, {_sql_str(AMOUNT_UNIT)})"),
+        _sql_str("\n" + lab[4]), or_na(_q("__m_merchant")),
+        _sql_str("\n" + lab[5]), or_na(_q("__m_category")),
+        _sql_str("\n" + lab[6]), or_na(_q("__m_customer")),
+        _sql_str("\n\n" + lab[7]), location,
+        _sql_str("\n" + lab[8]), coords("__m_clat", "__m_clon"),
+        _sql_str("\n" + lab[9]), coords("__m_mlat", "__m_mlon"),
+        _sql_str("\n" + lab[10]), or_na(f"concat({_q('__m_dist')}, {_sql_str(DISTANCE_UNIT)})"),
+        _sql_str("\n\n" + lab[11]), when_text,
     ]
     temps = [n for n in staged.columns if n.startswith("__m_")]
-    return staged.withColumn(out, F.concat(*pieces)).drop(*temps)
+    return staged.withColumn(out, F.expr(f"concat({', '.join(pieces)})")).drop(*temps)
 
 
 def threshold_label(t) -> Column:
