@@ -13,19 +13,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def first_per_key(df: DataFrame, key: str, order_cols: Sequence[str] = ()) -> DataFrame:
     """One row per non-null ``key``: the row with the smallest ``order_cols``
     (ties and unordered input: the smallest full row, so the choice is
     deterministic).  Rows with a NULL key are dropped (NOT NULL key)."""
     cols = df.columns
     order = [c for c in order_cols if c in cols]
-    rank = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in cols]))
+    rest = [c for c in cols if c != key]
+    row = "named_struct(" + ", ".join(f"'{c}', {_q(c)}" for c in rest) + ")"
+    rank = "struct(" + ", ".join([_q(c) for c in order] +
+                                 ["struct(" + ", ".join(_q(c) for c in cols) + ")"]) + ")"
     picked = (df.where(F.col(key).isNotNull())
               .groupBy(key)
-              .agg(F.min_by(F.struct(*[F.col(c).alias(c) for c in cols if c != key]), rank)
-                   .alias("_row")))
-    return picked.select(key, *[F.col(f"_row.{c}").alias(c) for c in cols if c != key]) \
-        .select(*cols)
+              .agg(F.expr(f"min_by({row}, {rank})").alias("_row")))
+    return picked.selectExpr(*[_q(c) if c == key else f"_row.{_q(c)} AS {_q(c)}" for c in cols])
 
 
 def new_keys_only(df: DataFrame, table: DataFrame | None, key: str) -> DataFrame:
