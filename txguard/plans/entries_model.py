@@ -412,6 +412,15 @@ def s12(spark, sf):
     return _decision_out(spark.read.parquet(path))
 
 
+@register("g7_promotion_events", f"""WITH {_PAIR_SQL}
+SELECT model_name, 'champion' AS alias, CAST(challenger_version AS BIGINT) AS version FROM dec2 WHERE promoted""")
+def g7(spark, sf):
+    from txguard.plans.retraining import promotion_events
+    metrics, events = registry_tables(spark, sf)
+    decided = decide(champion_challenger_pairs(events, metrics))
+    return promotion_events(decided).select("model_name", "alias", "version")
+
+
 @register("m13_current_alias", f"""WITH {_PAIR_SQL}
 SELECT model_name, 'champion' AS alias, CAST(CASE WHEN promoted THEN challenger_version ELSE champion_version END AS BIGINT) AS version FROM dec2
 UNION ALL SELECT model_name, 'challenger' AS alias, CAST(challenger_version AS BIGINT) AS version FROM dec2""")
