@@ -91,3 +91,12 @@ def gather(offsets: np.ndarray, flat: np.ndarray, index: np.ndarray) -> tuple[np
     at = np.repeat(offsets[index] - (ends - lengths), lengths)
     at += np.arange(total, dtype=at.dtype)
     return flat[at], lengths
+
+
+def worker_cache() -> dict:
+    """What a Python worker keeps from task to task (never results, only what
+    can be made again).  Task functions arrive by value with globals of their
+    own, so it hangs on the interpreter."""
+    import sys
+
+    return vars(sys).setdefault("_txguard_worker_cache", {})
