@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontaminate, mixing, rules, simhash, tokenfiles, urls
-from txguard.llm.common import table
+from txguard.llm import decontaminate, mixing, rules, simhash, tokenfiles, toxicity, urls
+from txguard.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,6 +90,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("matches")
 
 
+@register("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @register("op9_mix_to_weights", r"""
 WITH d AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                   ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h FROM documents),
