@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontaminate, mixing, rules, simhash, tokenfiles, toxicity, urls
-from txguard.llm.common import fold, table
+from txguard.llm import decontaminate, mixing, quality, rules, simhash, tokenfiles, toxicity, urls
+from txguard.llm.common import fold, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,6 +98,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@register("op8_quality_qda")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    stats = stored(quality.statistics(table(spark, sf_dir, "documents")))
+    model = quality.fit(stats, table(spark, sf_dir, "labels"), ~held)
+    return quality.score(stats, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 @register("op9_mix_to_weights", r"""
 WITH d AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                   ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h FROM documents),
