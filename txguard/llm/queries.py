@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontaminate, mixing, quality, rules, simhash, tokenfiles, toxicity, urls
+from txguard.llm import decontaminate, language, mixing, quality, rules, simhash, tokenfiles, toxicity, urls
 from txguard.llm.common import fold, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,6 +98,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@register("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model, limits = language.fit(docs, ~held)
+    return language.identify(docs, model, keep=["doc_id"], limits=limits).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @register("op8_quality_qda")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
