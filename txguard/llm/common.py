@@ -79,8 +79,11 @@ def words(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of ``values`` over each row's stretch ``offsets[i]:offsets[i+1]``."""
-    total = np.concatenate([np.zeros((1, *values.shape[1:]), values.dtype), np.cumsum(values, axis=0)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+    out = np.zeros((len(offsets) - 1, *values.shape[1:]), values.dtype)
+    filled = np.flatnonzero(offsets[1:] > offsets[:-1])
+    if len(filled):
+        out[filled] = np.add.reduceat(values, offsets[filled], axis=0)
+    return out
 
 
 def gather(offsets: np.ndarray, flat: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -264,6 +264,7 @@ def _merged(parts: DataFrame, id_col: str, blocks: int) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the contaminated ones."""
-    found = contamination(docs, benchmark, text, id_col, **options).filter("contaminated").select(F.col(id_col).alias("__hit")).distinct()
-    found = stored(found)
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__hit")), "left_anti")
+    key = F.xxhash64(id_col, text)
+    found = contamination(docs.select(key.alias("__key"), F.col(text)), benchmark, text, "__key", **options)
+    found = stored(found.filter("contaminated").select("__key").distinct())
+    return docs.join(found, key == F.col("__key"), "left_anti")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import decontaminate, language, mixing, quality, rules, simhash, tokenfiles, toxicity, urls
+from txguard.llm import bloomlm, decontaminate, language, mixing, quality, rules, simhash, tokenfiles, toxicity, urls
 from txguard.llm.common import fold, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@register("op7_bloom_lm")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), F.coalesce(fold("doc_id", 5) == 1, F.lit(False))
+    return bloomlm.score(docs, ~held).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register("op8_quality_qda")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))

@@ -178,22 +178,37 @@ def fit(docs: DataFrame, labels: DataFrame, train, text: str = "text", id_col: s
     return {"weights": {v: float(c) for v, c in zip(vocabulary, w, strict=True)}, "intercept": b}
 
 
+def probabilities(text: pa.Array, model: dict) -> np.ndarray:
+    weights, b = model["weights"], model["intercept"]
+    known = weights.keys()
+    z = [b + sum(weights[w] for w in sorted(known & features(t))) for t in text.cast(pa.binary()).to_pylist()]
+    with np.errstate(over="ignore"):
+        return 1.0 / (1.0 + np.exp(-np.array(z, np.float64)))
+
+
 def score(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all but the text by default) and ``score``."""
-    spark = docs.sparkSession
     keep = [c for c in docs.columns if c != text] if keep is None else keep
-    shared = spark.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        weights, b = shared.value["weights"], shared.value["intercept"]
-        known = weights.keys()
         for batch in batches:
             for part in slices(batch, "__text"):
-                z = np.array([b + sum(weights[w] for w in sorted(known & features(t))) for t in part.column("__text").cast(pa.binary()).to_pylist()])
-                with np.errstate(over="ignore"):
-                    p = 1.0 / (1.0 + np.exp(-z))
+                p = probabilities(part.column("__text"), shared.value)
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + [pa.array(p, pa.float64())], names=[*keep, "__score"])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    out = docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, f"{kinds + ', ' if kinds else ''}`__score` double")
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    out = docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, f"{kinds}`__score` double")
     return out.withColumnRenamed("__score", "score")
+
+
+def keep_clean(docs: DataFrame, model: dict, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` less those that score ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text):
+                yield part.filter(pa.array(probabilities(part.column(text), shared.value) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
