@@ -29,6 +29,18 @@ def test_preprocessor_outputs_sparse_and_ignores_unseen(spark):
     v1 = model.transform(unseen).select("features").first()[0]
     v0 = model.transform(test.limit(1)).select("features").first()[0]
     assert v1.size == v0.size          # unseen category: an all-zero block, same width
+    merchants = next(st for st in model.stages if st.uid.startswith("StringIndexer")).labels
+    lost = set(v0.indices) - set(v1.indices)
+    assert len(lost) == 1 and set(v1.indices) <= set(v0.indices) and len(merchants) > 1
+
+
+def test_preprocessor_leaves_out_empty_columns_and_keeps_odd_modes(spark):
+    train, _ = _train_test(spark)
+    odd = train.withColumn("zip", F.lit(None).cast("bigint")).withColumn("job", F.lit("a\\tb's"))
+    model = build_preprocessor(odd).fit(odd)
+    holes = odd.withColumn("job", F.lit(None).cast("string"))
+    same = model.transform(odd).select("features").first()[0]
+    assert model.transform(holes).select("features").first()[0] == same
 
 
 def test_logistic_candidate_fits_and_scores(spark):
@@ -44,7 +56,10 @@ def test_split_is_deterministic(spark):
     data = view(spark, SF_SMALL, "transactions")
     a = split_train_test(data)[1].select("trans_num").collect()
     b = split_train_test(data.repartition(7))[1].select("trans_num").collect()
-    assert sorted(a) == sorted(b) and 200 < len(a) < 400
+    assert sorted(a) == sorted(b) and len(a) == 300
+    test = split_train_test(data)[1]
+    for c in (0, 1):       # each class gives its share
+        assert test.where(F.col("is_fraud") == c).count() == round(0.2 * data.where(F.col("is_fraud") == c).count())
 
 
 def _paths(base):

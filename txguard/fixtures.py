@@ -52,6 +52,11 @@ SELECT * FROM (SELECT CASE WHEN k % 127 = 0 THEN NULL ELSE trans_num END AS tran
  CASE WHEN k % 137 = 0 THEN NULL ELSE category END AS category,
  CASE WHEN k % 101 = 0 THEN -amt ELSE amt END AS amt,
  CASE WHEN k % 103 = 0 THEN NULL WHEN k % 107 = 0 THEN 95.0 ELSE lat END AS lat, {q}long{q}, merch_lat, merch_long,
+ {q}first{q}, {q}last{q}, street,
+ CASE WHEN k % 139 = 0 THEN NULL ELSE gender END AS gender, CASE WHEN k % 149 = 0 THEN NULL ELSE city END AS city,
+ CASE WHEN k % 151 = 0 THEN NULL ELSE state END AS state, CASE WHEN k % 157 = 0 THEN NULL ELSE zip END AS zip,
+ CASE WHEN k % 163 = 0 THEN NULL ELSE city_pop END AS city_pop, CASE WHEN k % 167 = 0 THEN NULL ELSE job END AS job,
+ CASE WHEN k % 173 = 0 THEN NULL ELSE dob END AS dob,
  CASE WHEN k % 109 = 0 THEN 3 ELSE is_fraud END AS is_fraud,
  CASE WHEN k % 131 = 0 THEN 'bad-date' ELSE CAST({q}current_time{q} AS {s}) END AS current_time_raw, copy_no
  FROM (SELECT t.*, CAST(t.trans_num AS BIGINT) AS k, c.copy_no FROM {transactions} t

@@ -1,15 +1,14 @@
 """Key-based row selection: first-wins dedupe, insert-if-absent (J3), key joins.
 
-All of them are aggregates or joins on the key, so a hot key is combined
-map-side (``min_by`` is a partial aggregate) instead of being gathered into
-one task as a ``row_number()`` window would.
+The pick is ``row_number() = 1``: Spark plans a group limit before the shuffle,
+so each task sends one row of a key, however hot, and a row travels once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,17 +19,12 @@ def _q(name: str) -> str:
 def first_per_key(df: DataFrame, key: str, order_cols: Sequence[str] = ()) -> DataFrame:
     """One row per non-null ``key``: the row with the smallest ``order_cols``
     (ties and unordered input: the smallest full row, so the choice is
-    deterministic).  Rows with a NULL key are dropped (NOT NULL key)."""
-    cols = df.columns
-    order = [c for c in order_cols if c in cols]
-    rest = [c for c in cols if c != key]
-    row = "named_struct(" + ", ".join(f"'{c}', {_q(c)}" for c in rest) + ")"
-    rank = "struct(" + ", ".join([_q(c) for c in order] +
-                                 ["struct(" + ", ".join(_q(c) for c in cols) + ")"]) + ")"
-    picked = (df.where(F.col(key).isNotNull())
-              .groupBy(key)
-              .agg(F.expr(f"min_by({row}, {rank})").alias("_row")))
-    return picked.selectExpr(*[_q(c) if c == key else f"_row.{_q(c)} AS {_q(c)}" for c in cols])
+    deterministic).  Rows with a NULL key have no place in a keyed table; the
+    plans quarantine them before."""
+    order = [F.col(c) for c in order_cols if c in df.columns]
+    ranked = Window.partitionBy(key).orderBy(*order, F.struct(*[F.col(_q(c)) for c in df.columns]))
+    return (df.where(F.col(key).isNotNull()).withColumn("_rank", F.row_number().over(ranked))
+            .where("_rank = 1").drop("_rank"))
 
 
 def new_keys_only(df: DataFrame, table: DataFrame | None, key: str) -> DataFrame:

@@ -9,8 +9,8 @@ all read the histogram.
 
 AUC and AP need counts accumulated from the highest score down; they come
 from ``ranking.running_sums`` over the range-partitioned, checkpointed
-histogram (no single-task window), which every metric then reuses without
-re-reading the input.
+histogram (no single-task window); the other metrics read the histogram as it
+is, with no range shuffle.
 """
 
 from __future__ import annotations
@@ -63,14 +63,32 @@ def long_scores(df: DataFrame, score_cols: dict[str, str], key: str = "trans_num
 
 def score_histogram(scored: DataFrame, group_cols: Sequence[str] = ("model",),
                     label_col: str = "label", score_col: str = "score") -> DataFrame:
-    """``(group..., score, pos, neg)`` — one row per distinct score."""
-    s = F.col(score_col)
+    """``(group..., score, pos, neg)`` — one row per distinct score.  A NULL or
+    NaN score, or a label other than 0 and 1, is an error; ``unscorable`` counts
+    such rows for a caller who wants to set them aside first."""
     y = F.col(label_col)
-    valid = scored.where(s.isNotNull() & ~F.isnan(s) & y.isin(0, 1))
-    return valid.groupBy(*group_cols, s.alias("score")).agg(
+    refused = F.raise_error(F.lit("metrics: a score is NULL or NaN, or a label is not 0 or 1")).cast("double")
+    s = F.when(_scorable(label_col, score_col), F.col(score_col).cast("double")).otherwise(refused)
+    return scored.groupBy(*group_cols, s.alias("score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
 
 
+def _scorable(label_col: str, score_col: str) -> Column:
+    s = F.col(score_col)
+    return F.coalesce(s.isNotNull() & ~F.isnan(s) & F.col(label_col).isin(0, 1), F.lit(False))
+
+
+def unscorable(scored: DataFrame, group_cols: Sequence[str] = ("model",),
+               label_col: str = "label", score_col: str = "score") -> DataFrame:
+    """Rows per group that no metric is defined for: ``(group..., n, n_unscorable)``."""
+    return scored.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~_scorable(label_col, score_col)).alias("n_unscorable"))
+
+
+def scorable(scored: DataFrame, label_col: str = "label", score_col: str = "score") -> DataFrame:
+    return scored.where(_scorable(label_col, score_col))
+
+
 def cumulative_from_top(ranged: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     """Add ``cpos``/``cneg``: counts over scores >= this score, per group."""
     return running_sums(ranged, group_cols, "score", ["pos", "neg"], descending=True)
@@ -183,12 +201,16 @@ class Evaluation:
                  label_col: str = "label", score_col: str = "score",
                  n_ranges: int | None = None):
         self.group_cols = list(group_cols)
-        hist = score_histogram(scored, self.group_cols, label_col, score_col)
-        self.hist = pinned_ranges(hist, self.group_cols, "score", descending=True,
-                                  n_ranges=n_ranges)
+        self.n_ranges = n_ranges
+        self.hist = score_histogram(scored, self.group_cols, label_col, score_col)
+        self._ranged: DataFrame | None = None
 
     def ranking(self) -> DataFrame:
-        return ranking_metrics(cumulative_from_top(self.hist, self.group_cols), self.group_cols)
+        """The only metrics that need the ranges pinned."""
+        if self._ranged is None:
+            self._ranged = pinned_ranges(self.hist, self.group_cols, "score", descending=True,
+                                         n_ranges=self.n_ranges)
+        return ranking_metrics(cumulative_from_top(self._ranged, self.group_cols), self.group_cols)
 
     def default(self, cut: float = 0.5) -> DataFrame:
         return default_metrics(self.hist, self.group_cols, cut)

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txguard.operators.features import prepare_features_and_target
@@ -24,18 +24,43 @@ RF_TREES, RF_DEPTH, RF_MIN_LEAF = 150, 18, 10
 GBT_ROUNDS, GBT_DEPTH, GBT_RATE, GBT_SUBSAMPLE, GBT_COLSAMPLE = 300, 5, 0.05, 0.8, 0.8
 # --- end of fixed values ---
 
-# test rows: the first 16 bits of md5(key) below 20 % of 0x10000 (0x3333)
-_TEST_PREFIX = format(int(TEST_SHARE * 0xFFFF), "04x")
-
-
-def test_flag(key: str = "trans_num") -> Column:
-    """M6: deterministic 80/20 split by a hash of the key — independent of
-    partitioning and of row order, identical in any engine with ``md5``."""
-    return F.substring(F.md5(F.col(key).cast("string")), 1, 4) < F.lit(_TEST_PREFIX)
+_PREFIX = 5     # hexadecimal digits: about a million bins of the hash
+
+
+def _hash(key: str) -> Column:
+    return F.md5(F.col(key).cast("string"))
+
+
+def with_test_flag(df: DataFrame, key: str = "trans_num", label: str = "is_fraud",
+                   share: float = TEST_SHARE, name: str = "is_test") -> DataFrame:
+    """M6: per class, the rows with the smallest key hashes are the test part:
+    round(share * n) of a class with n rows.  It does not depend on
+    partitioning or row order and is the same in any engine with ``md5``.
+
+    The hash that ends the test part of a class is found from a histogram of
+    hash prefixes (partial aggregation) and the rows of one bin per class, so
+    no class is sorted in one task.  Rows with the same key stay together."""
+    cls = F.col(label).alias("_class")
+    bins = df.groupBy(cls, F.substring(_hash(key), 1, _PREFIX).alias("_bin")).agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy("_class").orderBy("_bin")
+    total = Window.partitionBy("_class")
+    cut = (bins.withColumns({"_upto": F.sum("_n").over(order), "_want": F.round(F.sum("_n").over(total) * F.lit(share))})
+           .where("_want > 0 AND _upto >= _want AND _upto - _n < _want")
+           .select("_class", "_bin", (F.col("_want") - F.col("_upto") + F.col("_n")).cast("long").alias("_inside")))
+    place = Window.partitionBy("_class").orderBy("_h")
+    inside = (df.select(cls, _hash(key).alias("_h")).withColumn("_bin", F.substring("_h", 1, _PREFIX))
+              .join(F.broadcast(cut), ["_class", "_bin"])          # one row per class
+              .withColumn("_rank", F.row_number().over(place)).where("_rank = _inside")
+              .groupBy("_class").agg(F.max("_h").alias("_last")))
+    last = {r["_class"]: r["_last"] for r in inside.collect()}     # one row per class
+    flag = F.lit(False)
+    for c, h in sorted(last.items(), key=lambda x: str(x[0])):
+        flag = F.when(F.col(label) == c, _hash(key) <= F.lit(h)).otherwise(flag)
+    return df.withColumn(name, flag)
 
 
 def split_train_test(df: DataFrame, key: str = "trans_num") -> tuple[DataFrame, DataFrame]:
-    flagged = df.withColumn("_is_test", test_flag(key))
+    flagged = with_test_flag(df, key, name="_is_test")
     return (flagged.where(~F.col("_is_test")).drop("_is_test"),
             flagged.where(F.col("_is_test")).drop("_is_test"))
 
@@ -137,5 +162,7 @@ def train_candidates(df: DataFrame, production_threshold: float = DEFAULT_ALERT_
         ap = r.metrics.where(F.col("metric") == "average_precision").select(
             "model", F.lit(r.ordinal).alias("ordinal"), F.col("value").alias("average_precision"))
         summary = ap if summary is None else summary.unionByName(ap)
-    best = best_candidate(summary) if summary is not None else None
+    # the few metric rows are kept, so that the training frame can be released
+    best = best_candidate(summary).checkpoint() if summary is not None else None
+    train.unpersist()
     return results, best

@@ -29,7 +29,7 @@ def psi(df: DataFrame, columns: Sequence[str], is_reference: Column, bins: int =
     if fixed_range is None:
         # one row per feature: broadcast by size
         edges = long.where("_ref").groupBy("feature").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-        long = long.join(F.broadcast(edges), "feature")
+        long = long.join(F.broadcast(edges), "feature", "left")
     else:
         long = long.withColumns({"_lo": F.lit(float(fixed_range[0])), "_hi": F.lit(float(fixed_range[1]))})
     width = F.col("_hi") - F.col("_lo")
@@ -38,10 +38,13 @@ def psi(df: DataFrame, columns: Sequence[str], is_reference: Column, bins: int =
     counts = long.groupBy("feature", bucket.alias("bucket")).agg(
         F.count_if(F.col("_ref")).alias("ref_n"), F.count_if(~F.col("_ref")).alias("cur_n"))
     per_feature = Window.partitionBy("feature")
+    p = F.try_divide("ref_n", F.sum("ref_n").over(per_feature))
+    q = F.try_divide("cur_n", F.sum("cur_n").over(per_feature))
+    # a side without rows has no distribution: the index is NULL
     shares = counts.select(
         "feature", "bucket",
-        F.greatest(F.col("ref_n") / F.sum("ref_n").over(per_feature), F.lit(PSI_EPSILON)).alias("p"),
-        F.greatest(F.col("cur_n") / F.sum("cur_n").over(per_feature), F.lit(PSI_EPSILON)).alias("q"))
+        F.when(p.isNotNull(), F.greatest(p, F.lit(PSI_EPSILON))).alias("p"),
+        F.when(q.isNotNull(), F.greatest(q, F.lit(PSI_EPSILON))).alias("q"))
     return shares.groupBy("feature").agg(
         F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("psi"))
 
@@ -53,7 +56,8 @@ def target_drift(df: DataFrame, period: Column, is_reference: Column, label_col:
         F.count_if(is_reference).alias("_ref_n"),
         F.sum(F.when(is_reference, F.col(label_col)).otherwise(0)).alias("_ref_f"))
     everything = Window.partitionBy(F.lit(0))   # over the per-period table only
-    ref_rate = F.sum("_ref_f").over(everything) / F.sum("_ref_n").over(everything)
+    # without reference rows there is no reference rate: NULL
+    ref_rate = F.try_divide(F.sum("_ref_f").over(everything), F.sum("_ref_n").over(everything))
     return per.select("period", "n", "n_fraud", (F.col("n_fraud") / F.col("n")).alias("fraud_rate"),
                       ref_rate.alias("reference_rate")) \
         .withColumn("rate_change", F.col("fraud_rate") - F.col("reference_rate"))

@@ -16,9 +16,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.operators.ranking import (
-    medians_from_histogram, pinned_ranges, running_sums, value_histogram,
-)
+from txguard.operators.ranking import exact_medians, pinned_ranges, running_sums
 from txguard.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 FEATURES_VECTOR = "features"
@@ -32,30 +30,18 @@ def _stack(df: DataFrame, columns: Sequence[str], cast: str) -> DataFrame:
 def fit_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES) -> DataFrame:
     """M3 fit (A16 + A18): ``(feature, median, mean, scale)``; the mean and the
     population standard deviation are taken after median imputation, and a
-    zero deviation scales by 1."""
-    # one scan of the input: the per-value histogram (checkpointed inside the
-    # median search) also gives the moments of the imputed column
-    hist = value_histogram(df, columns).persist()
-    try:
-        medians = medians_from_histogram(hist)
-        # one row per feature: a broadcast by construction
-        imputed = hist.join(F.broadcast(medians), "feature", "left").withColumn(
-            "value", F.coalesce("value", "median"))
-        means = imputed.groupBy("feature").agg(
-            F.first("median", ignorenulls=True).alias("median"),
-            (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
-        # second pass over the (small) histogram: centred moment, stable
-        var = imputed.join(F.broadcast(means.select("feature", "mean")), "feature").groupBy("feature").agg(
-            (F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)) / F.sum("n")).alias("var"))
-        stats = means.join(var, "feature").withColumn("std", F.sqrt("var"))
-        out = stats.select("feature", "median", "mean",
-                           F.when((F.col("std") == 0) | F.col("std").isNull(), F.lit(1.0))
-                           .otherwise(F.col("std")).alias("scale"))
-        # materialise the ~13-row result (shared checkpoint folder) before the
-        # histogram is released, so later uses never rescan the input
-        return out.checkpoint(eager=True)
-    finally:
-        hist.unpersist()
+    zero deviation scales by 1.  A column without any value has NULL medians
+    and means: there is nothing to impute it by, and the transformer leaves it
+    out.  Only the medians need the values counted; the moments are one
+    aggregation of the rows, with no shuffle of them."""
+    medians = {r["feature"]: r["median"] for r in exact_medians(df, columns).collect()}
+    imputed = {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(medians.get(c)).cast("double"))
+               for c in columns}
+    wide = df.agg(*[f(v).alias(f"{k}{i}") for i, v in enumerate(imputed.values()) for k, f in (("mean", F.avg), ("std", F.stddev_pop))])
+    literal = lambda v: "CAST(NULL AS DOUBLE)" if v is None else f"CAST({v!r} AS DOUBLE)"
+    rows = ", ".join(f"'{c}', {literal(medians.get(c))}, mean{i}, CASE WHEN std{i} > 0 THEN std{i} ELSE 1.0D END"
+                     for i, c in enumerate(columns))
+    return wide.selectExpr(f"stack({len(columns)}, {rows}) AS (feature, median, mean, scale)")
 
 
 def category_modes(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
@@ -96,6 +82,8 @@ def numeric_sql(fit: dict, columns: Sequence[str]) -> str:
     parts = []
     for c in columns:
         f = fit[c]
+        if f["median"] is None:         # no value at all: left out, as by the imputer
+            continue
         parts.append(f"(coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), "
                      f"CAST({f['median']!r} AS DOUBLE)) - CAST({f['mean']!r} AS DOUBLE)) / "
                      f"CAST({f['scale']!r} AS DOUBLE) AS `{c}__num`")
@@ -106,7 +94,7 @@ def categorical_sql(modes: dict, columns: Sequence[str]) -> str:
     parts = []
     for c in columns:
         mode = modes.get(c, {}).get("mode")
-        lit = "NULL" if mode is None else "'" + str(mode).replace("'", "''") + "'"
+        lit = "NULL" if mode is None else "'" + str(mode).replace("\\", "\\\\").replace("'", "\\'") + "'"
         parts.append(f"coalesce(CAST(`{c}` AS STRING), {lit}) AS `{c}__cat`")
     return ", ".join(parts)
 
@@ -114,20 +102,22 @@ def categorical_sql(modes: dict, columns: Sequence[str]) -> str:
 def build_preprocessor(train: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
                        categorical: Sequence[str] = CATEGORICAL_FEATURES) -> Pipeline:
     """M5: impute+scale numeric (exact fits), impute+one-hot categorical
-    (alphabetical indices; unseen values -> all-zero block), assemble one
-    sparse vector ``features``.  Returns an unfitted ``Pipeline`` whose first
+    (alphabetical indices; the indexer gives unseen values one index more, and
+    the encoder drops that last one: an all-zero block), assemble one sparse
+    vector ``features``.  The indexers' dictionaries come to the driver, as an
+    MLlib model holds them.  Returns an unfitted ``Pipeline`` whose first
     stage already carries the fitted constants."""
     num_fit = _collect_small(fit_numeric(train, numeric))
     modes = _collect_small(category_modes(train, categorical))
-    sql = SQLTransformer(statement=(
-        f"SELECT *, {numeric_sql(num_fit, numeric)}, {categorical_sql(modes, categorical)} "
-        "FROM __THIS__"))
+    numeric = [c for c in numeric if num_fit[c]["median"] is not None]
+    columns = ", ".join(x for x in (numeric_sql(num_fit, numeric), categorical_sql(modes, categorical)) if x)
+    sql = SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
     indexers = [StringIndexer(inputCol=f"{c}__cat", outputCol=f"{c}__idx",
                               stringOrderType="alphabetAsc", handleInvalid="keep")
                 for c in categorical]
     encoder = OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
                             outputCols=[f"{c}__ohe" for c in categorical],
-                            dropLast=True, handleInvalid="keep")
+                            dropLast=True, handleInvalid="error")
     assembler = VectorAssembler(
         inputCols=[f"{c}__num" for c in numeric] + [f"{c}__ohe" for c in categorical],
         outputCol=FEATURES_VECTOR)

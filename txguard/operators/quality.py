@@ -2,11 +2,13 @@
 
 Each validator exists in three forms:
 
-* a **report**: every rule's violation count from ONE aggregation.  The
-  uniqueness rule needs a grouping by ``trans_num`` anyway, so all counters
-  ride on that single shuffle: per key (partially aggregated map-side, so a hot
-  key is combined before the shuffle) and then summed globally;
-* a **row quarantine**: an array of the rules each row breaks;
+* a **report**: every rule's violation count from ONE aggregation.  Row rules
+  alone need no shuffle of rows; with the uniqueness rule all counters ride on
+  its grouping by ``trans_num`` (partially aggregated map-side, so a hot key is
+  combined before the shuffle) and are then summed globally;
+* a **row quarantine**: an array of the rules each row breaks.  Of a repeated
+  key either every copy breaks the uniqueness rule (as in the report), or all
+  but the first by ingest order (``keep_first``);
 * a **gate**: ``raise_if_failed`` collects the few result rows and raises.
 """
 
@@ -101,7 +103,18 @@ def expectation_rules(df: DataFrame, time_column: str = "current_time") -> list[
         return Rule(f"ExpectColumnValuesToBeBetween:{c}", c,
                     lambda d: F.coalesce(_present(d, c) & _outside(c, lo, hi), F.lit(False)))
 
-    rules = [
+    return [r for r in _expectations(not_null, between, time_column) if r.column in df.columns]
+
+
+def expectation_names(time_column: str = "current_time") -> list[tuple[str, str]]:
+    """(rule name, column) of the whole suite in declared order."""
+    named = lambda kind: lambda c, *_: Rule(f"{kind}:{c}", c, None)
+    rules = _expectations(named("ExpectColumnValuesToNotBeNull"), named("ExpectColumnValuesToBeBetween"), time_column)
+    return [(r.name, r.column) for r in rules]
+
+
+def _expectations(not_null, between, time_column: str) -> list[Rule]:
+    return [
         not_null("trans_num"),
         Rule("ExpectColumnValuesToBeUnique:trans_num", "trans_num", None),
         not_null("cc_num"), not_null("merchant"), not_null("category"), not_null("amt"),
@@ -114,13 +127,15 @@ def expectation_rules(df: DataFrame, time_column: str = "current_time") -> list[
              lambda d: F.coalesce(F.col("is_fraud").isNotNull()
                                   & ~F.col("is_fraud").isin(0, 1), F.lit(False))),
     ]
-    return [r for r in rules if r.column in df.columns]
 
 
 def _report(df: DataFrame, rules: list[Rule], key: str = "trans_num") -> DataFrame:
-    """One-row report ``total`` + one violation counter per rule, one shuffle."""
+    """One-row report ``total`` + one violation counter per rule, one shuffle
+    with a uniqueness rule and none of rows without."""
     row_rules = [r for r in rules if r.violated is not None]
     uniq_rules = [r for r in rules if r.violated is None]
+    if not uniq_rules:
+        return df.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(r.violated(df)).alias(r.name) for r in row_rules])
     per_row = df.select(
         F.col(key).alias("_key") if key in df.columns else F.lit(None).alias("_key"),
         *[r.violated(df).cast("int").alias(f"_r{i}") for i, r in enumerate(row_rules)])
@@ -147,41 +162,59 @@ def expectation_report(df: DataFrame, time_column: str = "current_time") -> Data
     return _report(df, expectation_rules(df, time_column))
 
 
-def results_long(report: DataFrame) -> DataFrame:
-    """Q20: wide counters -> rows ``(ordinal, rule, violations, total, success)``
-    in declared order."""
-    rules = [c for c in report.columns if c != "total"]
-    stack = ", ".join(f"{i}, '{r}', `{r}`" for i, r in enumerate(rules))
-    return report.selectExpr(
-        "total", f"stack({len(rules)}, {stack}) AS (ordinal, rule, violations)"
-    ).select(F.col("ordinal").cast("int"), "rule", "violations", "total",
-             (F.col("violations") == 0).alias("success"))
+COLUMNS_RULE = "ExpectTableColumnsToMatchSet:columns"
+UNIQUE_RULE = "ExpectColumnValuesToBeUnique:trans_num"
 
 
-def expectation_results(df: DataFrame, time_column: str = "current_time") -> DataFrame:
-    return results_long(expectation_report(df, time_column))
+def expectation_results(df: DataFrame, time_column: str = "current_time",
+                        required: list[str] | None = None) -> DataFrame:
+    """Q20: ``(ordinal, rule, violations, total, success, details)`` in declared
+    order: the column set first, then every expectation.  The expectation of an
+    absent column fails with NULL violations."""
+    required = INCOMING_REQUIRED_COLUMNS if required is None else required
+    missing = check_columns(df, [time_column if c == "current_time" else c for c in required])
+    report = expectation_report(df, time_column)
+    lines = [f"0, '{COLUMNS_RULE}', {len(missing)}L, '{'missing: ' + ', '.join(missing) if missing else 'all columns present'}'"]
+    for i, (rule, column) in enumerate(expectation_names(time_column), 1):
+        lines.append(f"{i}, '{rule}', `{rule}`, concat(`{rule}`, ' of ', total, ' rows')" if rule in report.columns
+                     else f"{i}, '{rule}', CAST(NULL AS BIGINT), 'column {column} is absent'")
+    return report.selectExpr(
+        "total", f"stack({len(lines)}, {', '.join(lines)}) AS (ordinal, rule, violations, details)"
+    ).select(F.col("ordinal").cast("int"), "rule", "violations", "total",
+             F.coalesce(F.col("violations") == 0, F.lit(False)).alias("success"), "details")
 
 
-def quarantine(df: DataFrame, rules: list[Rule] | None = None, key: str = "trans_num") -> DataFrame:
+def quarantine(df: DataFrame, rules: list[Rule] | None = None, key: str = "trans_num",
+               keep_first: bool = False, order_cols: tuple[str, ...] = ()) -> DataFrame:
     """Row form: ``dq_violations`` (array of broken rule names) on every row.
 
-    Key uniqueness joins the batch with its duplicated keys (a small side;
-    a hot key on the batch side is split by AQE's skew-join handling)."""
+    Uniqueness joins the batch with one row per repeated key; rows without a
+    key stay out of that join.  With ``keep_first``, the smallest
+    ``order_cols`` (then the row's place in the batch) among the copies that
+    break no other rule is kept and every later one is flagged."""
     rules = expectation_rules(df) if rules is None else rules
     flags = [F.when(r.violated(df), F.lit(r.name)) for r in rules if r.violated is not None]
-    out = df
     uniq = [r for r in rules if r.violated is None]
-    if uniq and key in df.columns:
-        dup_keys = (df.where(F.col(key).isNotNull()).groupBy(key).count()
-                    .where(F.col("count") > 1).select(F.col(key).alias("_dup_key")))
-        out = out.join(dup_keys, out[key] == dup_keys["_dup_key"], "left")
-        flags.insert(1, F.when(F.col("_dup_key").isNotNull(), F.lit(uniq[0].name)))
-    out = out.withColumn("dq_violations", F.array_compact(F.array(*flags)))
-    return out.drop("_dup_key") if "_dup_key" in out.columns else out
-
-
-def split_quarantine(df: DataFrame, rules: list[Rule] | None = None):
-    q = quarantine(df, rules)
+    if not uniq or key not in df.columns:
+        return df.withColumn("dq_violations", F.array_compact(F.array(*flags)))
+    out = df.withColumns({"dq_violations": F.array_compact(F.array(*flags)), "_seq": F.monotonically_increasing_id()})
+    place = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([*order_cols, "_seq"])])
+    out = out.withColumn("_place", place)
+    counted = out.where(F.size("dq_violations") == 0) if keep_first else out
+    repeated = (counted.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_dup_key"))
+                .agg(F.count(F.lit(1)).alias("_copies"), F.min("_place").alias("_first")).where("_copies > 1"))
+    keyed = out.where(F.col(key).isNotNull()).join(repeated, F.col(key) == F.col("_dup_key"), "left")
+    later = F.col("_dup_key").isNotNull()
+    if keep_first:
+        later = later & (F.size("dq_violations") == 0) & (F.col("_place") != F.col("_first"))
+    v = F.col("dq_violations")
+    keyed = keyed.withColumn("dq_violations", F.when(later, F.concat(F.array(F.lit(uniq[0].name)), v)).otherwise(v))
+    helpers = ("_seq", "_place", "_dup_key", "_copies", "_first")
+    return keyed.drop(*helpers).unionByName(out.where(F.col(key).isNull()).drop(*helpers))
+
+
+def split_quarantine(df: DataFrame, rules: list[Rule] | None = None, **options):
+    q = quarantine(df, rules, **options)
     good = q.where(F.size("dq_violations") == 0).drop("dq_violations")
     bad = q.where(F.size("dq_violations") > 0)
     return good, bad
@@ -191,7 +224,7 @@ def raise_if_failed(results: DataFrame, context: str) -> None:
     """Q21: collect the (few) result rows; raise listing every failure."""
     rows = results.where(~F.col("success")).orderBy("ordinal").collect()
     if rows:
-        lines = "\n".join(f"- {r['rule']}: {r['violations']} of {r['total']} rows" for r in rows)
+        lines = "\n".join(f"- {r['rule']}: {r['details']}" for r in rows)
         raise DataQualityError(f"validation failed: {context}\n{lines}")
 
 
@@ -232,9 +265,4 @@ def validate_incoming_transactions(df: DataFrame, time_column: str = "current_ti
     """Expectation suite: empty batch fails; all failures are listed (Q6–Q21)."""
     if df.isEmpty():
         raise DataQualityError("incoming transaction batch is empty")
-    missing = check_columns(df, [time_column if c == "current_time" else c
-                                 for c in INCOMING_REQUIRED_COLUMNS])
-    if missing:
-        raise DataQualityError(f"validation failed: incoming_transactions\n"
-                               f"- ExpectTableColumnsToMatchSet: missing {missing}")
     raise_if_failed(expectation_results(df, time_column), "incoming_transactions")

@@ -23,15 +23,6 @@ def current_aliases(alias_events: DataFrame) -> DataFrame:
         F.max_by("version", F.struct("at", "seq")).alias("version"))
 
 
-def alias_event(spark_df_like: DataFrame, alias: str) -> DataFrame:
-    """M13 ``promote_model_alias`` / register-as-challenger: new alias events
-    for ``(model_name, version)`` rows."""
-    return spark_df_like.select(
-        "model_name", F.lit(alias).alias("alias"), F.col("version").cast("long").alias("version"),
-        F.current_timestamp().cast("timestamp_ntz").alias("at"),
-        F.unix_micros(F.current_timestamp()).alias("seq"))
-
-
 def next_versions(model_versions: DataFrame | None, new_models: DataFrame) -> DataFrame:
     """Versions for newly registered models: 1 + current maximum per name."""
     if model_versions is None:
@@ -61,3 +52,11 @@ def champion_challenger_pairs(alias_events: DataFrame, model_metrics: DataFrame,
                         *[F.col(m).alias(f"{alias}_{m}") for m in metrics])
 
     return side("champion").join(side("challenger"), "model_name")
+
+
+def require_aliases(alias_events: DataFrame, aliases: Sequence[str] = ("champion", "challenger")) -> None:
+    """An alias that points nowhere is an error (one row per model and alias is looked at)."""
+    held = {r["alias"] for r in current_aliases(alias_events).select("alias").distinct().collect()}
+    absent = [a for a in aliases if a not in held]
+    if absent:
+        raise ValueError(f"no model version has the alias {', '.join(absent)}")

@@ -20,7 +20,7 @@ from txguard.plans.catalog import V, r6, register, scored_cte
 from txguard.schemas import MODEL_FEATURE_COLUMNS, TRANSACTION_SCHEMA
 from txguard.session import fresh_shared_path
 from txguard.sources import files, sinks
-from txguard.sources.payload import parse_payloads, to_split_payloads
+from txguard.sources.payload import parse_payloads, rejected_payloads, to_split_payloads
 
 TX_COLS = [f.name for f in TRANSACTION_SCHEMA.fields]
 TX_SQL_COLS = ", ".join(f'"{c}"' for c in TX_COLS)
@@ -49,6 +49,35 @@ def s1(spark, sf):
     return parse_payloads(docs).select(*TX_COLS)
 
 
+def _one_payload_of_each_shape(spark, sf):
+    """Per transaction a document of one of the four shapes, every third of
+    them as a JSON string, and beside every 50th one that fits no shape."""
+    t = tx(spark, sf).select(*TX_COLS)
+    text = F.create_map(*[x for c in TX_COLS for x in (F.lit(c), F.col(c).cast("string"))])
+    record = F.to_json(F.array(text), {"ignoreNullFields": "false"})
+    lists = F.to_json(F.transform_values(text, lambda k, v: F.array(v)))
+    columns = F.to_json(F.transform_values(text, lambda k, v: F.create_map(F.lit("0"), v)))
+    split = F.to_json(F.struct(F.array(*[F.lit(c) for c in TX_COLS]).alias("columns"), F.array(F.lit(0)).alias("index"),
+                               F.array(F.array(*[F.col(c).cast("string") for c in TX_COLS])).alias("data")))
+    key = F.col("trans_num").cast("bigint")
+    doc = F.element_at(F.array(record, lists, columns, split), (key % 4 + 1).cast("int"))
+    quoted = F.regexp_replace(F.to_json(F.array(doc)), r"^\[|\]$", "")
+    good = t.select("trans_num", F.when(key % 3 == 0, quoted).otherwise(doc).alias("payload"))
+    bad = F.element_at(F.array(F.lit("not json"), F.lit('{"columns": ["amt"], "data": [["1"]]}'), F.lit('{"amt": 1, "zip": 2}'),
+                               F.lit('{"amt": ["1"], "zip": ["2", "3"]}'), F.lit(None).cast("string")), (key % 5 + 1).cast("int"))
+    return good.unionByName(t.where(key % 50 < 5).select("trans_num", bad.alias("payload")))
+
+
+@register("s1_payload_shapes", f"SELECT {TX_SQL_COLS} FROM transactions")
+def s1_shapes(spark, sf):
+    return parse_payloads(_one_payload_of_each_shape(spark, sf), on_reject="skip").select(*TX_COLS)
+
+
+@register("s1_rejected_payloads", "SELECT trans_num FROM transactions WHERE CAST(trans_num AS BIGINT) % 50 < 5")
+def s1_rejects(spark, sf):
+    return rejected_payloads(_one_payload_of_each_shape(spark, sf)).select("trans_num")
+
+
 @register("s2_landing_batch", f"SELECT {TX_SQL_COLS} FROM transactions")
 def s2(spark, sf):
     path = fresh_shared_path(spark, "landing")

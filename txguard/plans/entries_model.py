@@ -269,11 +269,14 @@ def m4(spark, sf):
     return model.transform(t).select("trans_num", *[f"{c}_idx" for c in CATEGORICAL_FEATURES])
 
 
-@register("m6_stratified_split", """SELECT trans_num, is_fraud,
- substr(md5(trans_num), 1, 4) < '3333' AS is_test FROM transactions""")
+_SPLIT_SQL = """SELECT trans_num, is_fraud, row_number() OVER (PARTITION BY is_fraud ORDER BY md5(trans_num))
+ <= round(0.2 * count(*) OVER (PARTITION BY is_fraud)) AS is_test FROM transactions"""
+
+
+@register("m6_stratified_split", _SPLIT_SQL)
 def m6(spark, sf):
-    from txguard.operators.models import test_flag
-    return V(spark, sf, "transactions").select("trans_num", "is_fraud", test_flag().alias("is_test"))
+    from txguard.operators.models import with_test_flag
+    return with_test_flag(V(spark, sf, "transactions").select("trans_num", "is_fraud"))
 
 
 # ------------------------------------------------------------------ candidate models (rows-only)
@@ -282,13 +285,15 @@ def _candidate_query(name):
     def fn(spark, sf):
         from txguard.operators.models import train_candidates
         results, _best = train_candidates(V(spark, sf, "transactions"), 0.9, include_boosted=True, only=[name])
-        return results[0].scored.select("trans_num", r6("score").alias("fraud_probability"))
+        # what is exact of a fit: its test rows and that each has a probability
+        return results[0].scored.select("trans_num", "label", F.col("score").between(0.0, 1.0).alias("is_probability"))
     return fn
 
 
-register("m7_logistic_regression")(_candidate_query("logistic_regression_balanced"))
-register("m8_random_forest")(_candidate_query("random_forest_balanced"))
-register("m9_boosted_trees")(_candidate_query("xgboost_weighted"))
+_SCORED_SQL = f"SELECT trans_num, is_fraud AS label, true AS is_probability FROM ({_SPLIT_SQL}) s WHERE is_test"
+register("m7_logistic_regression", _SCORED_SQL)(_candidate_query("logistic_regression_balanced"))
+register("m8_random_forest", _SCORED_SQL)(_candidate_query("random_forest_balanced"))
+register("m9_boosted_trees", _SCORED_SQL)(_candidate_query("xgboost_weighted"))
 
 
 # ------------------------------------------------------------------ evaluation, registry, promotion

@@ -248,16 +248,23 @@ def _landing(spark, df, parts: int = 4):
     return path
 
 
-@register("t1_scoring_stream", f"WITH {scored_cte()} SELECT {_PRED_SQL} FROM scored2")
+@register("t1_scoring_stream", f"""WITH {scored_cte()} SELECT {_PRED_SQL}, files_per_trigger
+FROM scored2 CROSS JOIN (SELECT unnest([1, 100]) AS files_per_trigger) f""")
 def t1(spark, sf):
+    """Repeats inside a file and across files are scored once, whether each
+    file is a micro-batch or all are one."""
     from txguard.plans.inference import TablePaths
-    src = _landing(spark, tx(spark, sf).select(*TX_COLS))
-    base = fresh_shared_path(spark, "stream-tables")
-    paths = TablePaths(*[f"{base}/{n}" for n in ("predictions", "alerts", "labeled", "quarantine",
-                                                 "integration_events", "alert_status_events")])
-    q = st.start_scoring_stream(spark, src, paths, f"{base}/_checkpoint", max_files_per_trigger=2)
-    st.run_to_completion(q)
-    return _pred_out(spark.read.parquet(paths.predictions))
+    t, key = tx(spark, sf).select(*TX_COLS), F.col("trans_num").cast("bigint")
+    src = _landing(spark, t.unionByName(t.where(key % 7 == 0)).unionByName(t.where(key % 11 == 0)))
+    out = None
+    for files_per_trigger in (1, 100):
+        base = fresh_shared_path(spark, "stream-tables")
+        paths = TablePaths(*[f"{base}/{n}" for n in ("predictions", "alerts", "labeled", "quarantine",
+                                                     "integration_events", "alert_status_events")])
+        st.run_to_completion(st.start_scoring_stream(spark, src, paths, f"{base}/_checkpoint", max_files_per_trigger=files_per_trigger))
+        rows = _pred_out(spark.read.parquet(paths.predictions)).withColumn("files_per_trigger", F.lit(files_per_trigger))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @register("t2_stream_dedupe", """SELECT DISTINCT trans_num FROM transactions_dirty

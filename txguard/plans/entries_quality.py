@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txguard.operators.quality import (
-    business_report, business_rules, expectation_report, expectation_rules, quarantine, results_long,
+    COLUMNS_RULE, business_report, business_rules, expectation_report, expectation_results, expectation_rules, quarantine,
 )
 from txguard.plans.catalog import V, register
+from txguard.schemas import CRITICAL_COLUMNS
 
 TIME = "current_time_raw"
 
@@ -26,8 +27,7 @@ def _missing_sql(c, is_float):
 
 
 _FLOATS = {"amt", "lat", "long", "merch_lat", "merch_long"}
-_BUSINESS_NULL_COLS = ["cc_num", "merchant", "category", "amt", "lat", "long", "trans_num",
-                       "merch_lat", "merch_long", TIME]
+_BUSINESS_NULL_COLS = [TIME if c == "current_time" else c for c in CRITICAL_COLUMNS]
 _RANGES = [("lat", 90), ("long", 180), ("merch_lat", 90), ("merch_long", 180)]
 
 
@@ -112,13 +112,16 @@ _ALL_EXPECT_SQL = " UNION ALL ".join(
     f"SELECT {i} AS ordinal, '{rule}' AS rule, "
     + (f"CAST({_DUP_SQL} AS BIGINT)" if cond is None
        else f"(SELECT count(*) FILTER (WHERE {cond}) FROM transactions_dirty)")
-    + " AS violations" for i, (_n, rule, cond) in enumerate(_EXPECT))
+    + " AS violations" for i, (_n, rule, cond) in enumerate(_EXPECT, 1))
 
 
 @register("q20_expectation_results", f"""SELECT CAST(ordinal AS INTEGER) AS ordinal, rule, violations,
- (SELECT count(*) FROM transactions_dirty) AS total, violations = 0 AS success FROM ({_ALL_EXPECT_SQL}) r""")
+ total, violations = 0 AS success,
+ CASE WHEN ordinal = 0 THEN 'all columns present' ELSE violations || ' of ' || total || ' rows' END AS details
+ FROM (SELECT 0 AS ordinal, '{COLUMNS_RULE}' AS rule, CAST(0 AS BIGINT) AS violations UNION ALL {_ALL_EXPECT_SQL}) r
+ CROSS JOIN (SELECT count(*) AS total FROM transactions_dirty) n""")
 def q20(spark, sf):
-    return results_long(expectation_report(dirty(spark, sf), TIME))
+    return expectation_results(dirty(spark, sf), TIME)
 
 
 _ROW_FLAGS = [(rule, cond) for _n, rule, cond in _EXPECT]

@@ -8,6 +8,9 @@ A payload document holds one batch of transactions in one of four shapes:
 * columns:  ``{"col": {"<index>": v, ...}, ...}`` (the default JSON form of a
   pandas frame)
 
+or a JSON string that holds one of them.  A document of no such shape is an
+error, or one of the rejected documents; it never vanishes.
+
 Every shape is turned into an ``array<map<string,string>>`` with native JSON
 and higher-order functions, exploded to rows, and each field coerced to the
 target schema with ``try_cast`` (bad values -> NULL).  Documents are the unit of
@@ -28,35 +31,52 @@ LISTS_SCHEMA = "map<string,array<string>>"
 COLUMNS_SCHEMA = "map<string,map<string,string>>"
 
 
-def payload_shape(payload: Column) -> Column:
-    split = F.from_json(payload, SPLIT_SCHEMA)
-    is_split = split["columns"].isNotNull() & split["index"].isNotNull() & split["data"].isNotNull()
-    return (F.when(F.ltrim(payload).startswith("["), F.lit("records"))
-            .when(is_split, F.lit("split"))
-            .when(F.from_json(payload, LISTS_SCHEMA).isNotNull(), F.lit("lists"))
-            .when(F.from_json(payload, COLUMNS_SCHEMA).isNotNull(), F.lit("columns")))
-
-
-def payload_rows(payload: Column) -> Column:
+def _unwrapped(payload: Column) -> Column:
+    """A payload sent as a JSON string is the text inside the string."""
+    return F.when(F.ltrim(payload).startswith('"'), F.get_json_object(payload, "$")).otherwise(payload)
+
+
+def with_shapes(docs: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """``docs`` with ``_shape`` (NULL: none fits) and one parsed column per
+    shape; each document is parsed for the shape its first characters allow."""
+    text = F.col("_text")
+    out = docs.withColumn("_text", _unwrapped(F.col(payload_col)))
+    is_list, is_map = F.ltrim(text).startswith("["), F.ltrim(text).startswith("{")
+    keys = F.json_object_keys(F.when(is_map, text))
+    is_split = F.array_contains(keys, "columns") & F.array_contains(keys, "data")
+    out = out.withColumn("_split_like", F.coalesce(is_split, F.lit(False))).withColumn("_is_map", is_map & F.col("_text").isNotNull())
+    plain = F.when(F.col("_is_map") & ~F.col("_split_like"), text)
+    out = out.withColumns({
+        "_records": F.from_json(F.when(is_list, text), RECORDS_SCHEMA),
+        "_split": F.from_json(F.when(F.col("_split_like"), text), SPLIT_SCHEMA),
+        "_lists": F.from_json(plain, LISTS_SCHEMA),
+    })
+    out = out.withColumn("_columns", F.from_json(F.when(F.col("_lists").isNull(), plain), COLUMNS_SCHEMA))
+    width = F.size(F.col("_split.columns"))
+    split_ok = (F.col("_split.columns").isNotNull() & F.col("_split.index").isNotNull() & F.col("_split.data").isNotNull()
+                & F.forall(F.col("_split.data"), lambda r: F.size(r) == width))
+    lists_ok = F.col("_lists").isNotNull() & (F.size(F.array_distinct(F.transform(F.map_values("_lists"), F.size))) <= 1)
+    records_ok = F.col("_records").isNotNull() & F.forall("_records", lambda r: r.isNotNull())
+    columns_ok = F.col("_columns").isNotNull() & F.forall(F.map_values("_columns"), lambda v: v.isNotNull())
+    return out.withColumn("_shape", F.when(records_ok, "records").when(split_ok, "split").when(lists_ok, "lists").when(columns_ok, "columns"))
+
+
+def _rows_of_shapes() -> Column:
     """``array<map<string,string>>``: one map per transaction of the document."""
-    split = F.from_json(payload, SPLIT_SCHEMA)
+    split, lists, cols = F.col("_split"), F.col("_lists"), F.col("_columns")
     from_split = F.transform(split["data"], lambda r: F.map_from_arrays(split["columns"], r))
-    records = F.from_json(payload, RECORDS_SCHEMA)
-    lists = F.from_json(payload, LISTS_SCHEMA)
-    n_rows = F.size(F.element_at(F.map_values(lists), 1))
+    n_rows = F.coalesce(F.array_max(F.transform(F.map_values(lists), F.size)), F.lit(0))
     from_lists = F.transform(
-        F.sequence(F.lit(0), n_rows - 1),
-        lambda i: F.map_from_arrays(F.map_keys(lists), F.transform(F.map_values(lists), lambda v: v[i])))
-    cols = F.from_json(payload, COLUMNS_SCHEMA)
-    index_keys = F.map_keys(F.element_at(F.map_values(cols), 1))
+        F.sequence(F.lit(1), n_rows),
+        lambda i: F.map_from_arrays(F.map_keys(lists), F.transform(F.map_values(lists), lambda v: F.get(v, i - 1))))
+    index_keys = F.array_distinct(F.flatten(F.transform(F.map_values(cols), F.map_keys)))
     from_cols = F.transform(
         index_keys,
-        lambda k: F.map_from_arrays(F.map_keys(cols),
-                                    F.transform(F.map_values(cols), lambda v: F.element_at(v, k))))
-    shape = payload_shape(payload)
+        lambda k: F.map_from_arrays(F.map_keys(cols), F.transform(F.map_values(cols), lambda v: v[k])))
+    shape = F.col("_shape")
     return (F.when(shape == "split", from_split)
-            .when(shape == "records", records)
-            .when(shape == "lists", F.when(n_rows > 0, from_lists))
+            .when(shape == "records", F.col("_records"))
+            .when((shape == "lists") & (n_rows > 0), from_lists)
             .when(shape == "columns", from_cols))
 
 
@@ -81,15 +101,33 @@ def _coerce(text: Column, dtype: T.DataType) -> Column:
 
 
 def parse_payloads(docs: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA,
-                   payload_col: str = "payload", keep_extra: bool = False) -> DataFrame:
-    """Payload documents -> typed transaction rows."""
-    rows = docs.select(F.explode(payload_rows(F.col(payload_col))).alias("_m"))
+                   payload_col: str = "payload", keep_extra: bool = False,
+                   on_reject: str = "raise") -> DataFrame:
+    """Payload documents -> typed transaction rows.  A document that fits
+    no shape fails the job; with ``on_reject='skip'`` it is left to
+    ``rejected_payloads``, which a plan stores beside the rows."""
+    shaped = with_shapes(docs, payload_col)
+    rows = _rows_of_shapes()
+    if on_reject == "raise":
+        refused = F.raise_error(F.concat(F.lit("payload fits no known shape: "),
+                                         F.coalesce(F.substring(F.col("_text"), 1, 80), F.lit("NULL"))))
+        rows = F.when(F.col("_shape").isNull(), refused.cast(RECORDS_SCHEMA)).otherwise(rows)
+    elif on_reject != "skip":
+        raise ValueError(f"on_reject must be 'raise' or 'skip': {on_reject}")
+    rows = shaped.select(F.explode(rows).alias("_m"))
     fields = [_coerce(F.col("_m")[f.name], f.dataType).alias(f.name) for f in schema.fields]
     if keep_extra:
         fields.append(F.col("_m").alias("_raw"))
     return rows.select(*fields)
 
 
+def rejected_payloads(docs: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """The documents that fit no shape, as they came."""
+    # not a filter: the optimizer would push it below the parsing and repeat that
+    kept = F.when(F.col("_shape").isNull(), F.array(F.struct(*docs.columns)))
+    return with_shapes(docs, payload_col).select(F.inline(kept))
+
+
 ROWS_PER_DOCUMENT = 1000
 
 
