@@ -37,9 +37,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txguard.llm.common import row_sums, slices, stored, words
+from txguard.llm.common import map_arrow, row_sums, slices, stored, words
 
 CHUNK_BYTES = 24 << 20
+BATCH_BYTES = 64 << 20   # counting gains from large slices: words repeat
 RANGE_BYTES = 8 << 20   # of text per range
 BASE = 1.5              # of the levels
 PROBES = 3
@@ -131,7 +132,7 @@ def ngram_ranges(docs: DataFrame, text: str, range_bits: int) -> DataFrame:
                      pa.array([m[m > 1].astype(np.uint32).tobytes() for _, _, m in found], pa.binary())],
                     names=["range", "once", "many", "counts"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "range int, once binary, many binary, counts binary")
+    return map_arrow(docs.select(F.col(text).alias("text")), run, "range int, once binary, many binary, counts binary", BATCH_BYTES)
 
 
 def summed_ranges(dealt: DataFrame, base: float = BASE) -> DataFrame:
@@ -180,7 +181,7 @@ def build_filter(ranges: DataFrame, range_bits: int, bits_per_entry: int = BITS_
 
     size = segment // 8
     bits = np.zeros(size << range_bits, np.uint8)
-    for r in ranges.select("range", "rest", "levels").mapInArrow(run, "range int, bits binary").toLocalIterator():
+    for r in map_arrow(ranges.select("range", "rest", "levels"), run, "range int, bits binary").toLocalIterator():
         bits[r["range"] * size:(r["range"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
     return {"bits": bits, "segment": segment, "range_bits": range_bits, "probes": probes, "base": base, "top": max(by_level, default=0)}
 
@@ -211,7 +212,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
                 n = np.bincount(codes, minlength=len(distinct))
                 yield pa.RecordBatch.from_arrays([distinct.filter(pa.array(n > 0)), pa.array(n[n > 0], pa.int64())], names=["word", "c"])
 
-    found = docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, c bigint")
+    found = map_arrow(docs.select(F.col(text).alias("text")), run, "word string, c bigint", BATCH_BYTES)
     return found.groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -219,16 +220,13 @@ def model_log10(flt: dict, totals: dict, hashes: np.ndarray, codes: np.ndarray,
     """log10 probability of every text under the filter's bigrams."""
     seq, starts = sequences(codes, offsets, hashes)
     pairs, where = np.unique(bigram(seq[:-1], seq[1:]), return_inverse=True)
-    first = np.zeros(len(pairs), np.uint64)
-    second = np.zeros(len(pairs), np.uint64)
-    first[where], second[where] = seq[:-1], seq[1:]
-    vocabulary, back = np.unique(np.concatenate([first, second]), return_inverse=True)
-    uni = quantised(probe(flt, unigram(vocabulary)), flt["base"])
-    c1, c2 = uni[back[:len(first)]], uni[back[len(first):]]
-    c12 = quantised(probe(flt, pairs), flt["base"])
-    share = np.minimum(c12 / np.maximum(c1, 1.0), 1.0)
-    p = weight * share + (1 - weight) * (c2 + 0.5) / (totals["n"] + 0.5 * (totals["v"] + 1))
-    return row_sums(np.log10(np.minimum(p, 1.0))[where], starts)
+    both = quantised(probe(flt, pairs), flt["base"])[where]
+    one = quantised(probe(flt, unigram(np.append(hashes, END_HASH))), flt["base"])
+    # counts of all tokens in the same order, the end behind each text
+    each = np.insert(one[codes], offsets[1:], one[-1])
+    share = np.minimum(both / np.maximum(np.concatenate([one[-1:], each[:-1]]), 1.0), 1.0)
+    p = weight * share + (1 - weight) * (each + 0.5) / (totals["n"] + 0.5 * (totals["v"] + 1))
+    return row_sums(np.log10(np.minimum(p, 1.0)), starts)
 
 
 def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc_id", weight: float = LAMBDA,
@@ -259,7 +257,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc
     def run(t: pa.Table, found: pa.Table) -> pa.Table:
         flt, totals = shared.value
         out = []
-        parts = [p for b in t.select(["id", "text"]).combine_chunks().to_batches() for p in slices(b, "text")]
+        parts = [p for b in t.select(["id", "text"]).combine_chunks().to_batches() for p in slices(b, "text", 8 << 20)]
         values, c = found.column("word").combine_chunks(), np.append(found.column("c").to_numpy(), 0)
         for part in parts:
             distinct, codes, offsets = lower_words(part.column("text"))

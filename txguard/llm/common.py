@@ -17,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # Text handled at once inside a Python task; bounds a worker's memory whatever
 # the size of Spark's Arrow batches.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,14 @@ def stored(df: DataFrame, name: str = "llm") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, task, schema, max_bytes: int = SLICE_BYTES) -> DataFrame:
+    """``mapInArrow`` over batches of at most ``max_bytes``: rows carry whole
+    texts here, and Spark's default batch would hold many times as much in
+    the executor and in its Python workers."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(max_bytes))
+    return df.mapInArrow(task, schema)
+
+
 def fold(id_col: str | Column, modulus: int) -> Column:
     """``crc32(id as text) mod modulus``; NULL for a NULL id."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col

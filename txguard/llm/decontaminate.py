@@ -31,7 +31,6 @@ rows or no hits.  Further columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from types import SimpleNamespace
 
 import numpy as np
@@ -39,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.llm.common import slices, stored
+from txguard.llm.common import map_arrow, slices, stored
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -197,35 +196,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_
     if blocks > 1:
         parts = _merged(parts, id_col, blocks)
 
-    def finish(batches):
-        for batch in batches:
-            n_hit, n_items, digests = [], [], []
-            for spans, found in zip(batch.column("hits").to_pylist(), batch.column("matches").to_pylist(), strict=True):
-                n_hit.append(_covered(spans))
-                names = sorted({m["item"] for m in found})
-                n_items.append(len(names))
-                digests.append(hashlib.sha256(",".join(names).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(id_col), batch.column("n_words"), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string()),
-                 pa.array([n > 0 for n in n_hit], pa.bool_()), batch.column("matches")],
-                names=[id_col, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "matches"])
-
-    return parts.select(id_col, "n_words", "hits", "matches").mapInArrow(
-        finish, f"`{id_col}` {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, {MATCHES}")
+    # words inside the union of the stretches, which come sorted
+    covered = F.aggregate(
+        F.array_sort("hits"), F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("upto")),
+        lambda acc, s: F.struct(
+            (acc["total"] + F.greatest(F.lit(0), s["last"] - F.greatest(s["first"], acc["upto"]))).alias("total"),
+            F.greatest(acc["upto"], s["last"]).alias("upto")),
+        lambda acc: acc["total"])
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item"])))
+    return parts.select(
+        id_col, "n_words", covered.alias("n_hit"), F.size(names).cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"), "matches")
 
 
 MATCHES = "matches array<struct<item: string, length: bigint, start: bigint>>"
 
 
-def _covered(spans: list[dict]) -> int:
-    """Words inside a union of stretches."""
-    total = upto = 0
-    for a, b in sorted((s["first"], s["last"]) for s in spans):
-        total += max(0, b - max(a, upto))
-        upto = max(upto, b)
-    return total
-
-
 def _block(docs: DataFrame, bench: Benchmark, spark, text: str, id_col: str, kind: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(vars(bench))
 
@@ -250,7 +236,7 @@ def _block(docs: DataFrame, bench: Benchmark, spark, text: str, id_col: str, kin
                 yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "n_words", "hits", "matches", "row"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.xxhash64(id_col, text).alias("row"))
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_words bigint, hits array<struct<first: bigint, last: bigint>>, {MATCHES}, row bigint")
+    return map_arrow(rows, run, f"`{id_col}` {kind}, n_words bigint, hits array<struct<first: bigint, last: bigint>>, {MATCHES}, row bigint")
 
 
 def _merged(parts: DataFrame, id_col: str, blocks: int) -> DataFrame:

@@ -33,12 +33,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.llm.common import row_sums, slices, stored, words
+from txguard.llm.common import map_arrow, row_sums, slices, stored, words
 
 ORDER = 4
 SAMPLE_BYTES = 3_000_000
 SHARPNESS = 12.0
 CALIBRATION = 0.995
+WORDS_AT_ONCE = 20_000
 UNKNOWN = "und"
 START, END = "\x02", "\x03"
 
@@ -90,7 +91,7 @@ def counts(docs: DataFrame, text: str, lang: str, order: int = ORDER) -> DataFra
                                                      names=["lang", "gram", "n"])
 
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return map_arrow(rows, run, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def kneser_ney(grams: dict[str, int], order: int) -> tuple[list[dict[str, float]], list[dict[str, float]], float]:
@@ -147,6 +148,11 @@ def _look(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, missing: float
 
 def word_costs(spelled: list[str], model: dict) -> np.ndarray:
     """Bits of every word under every language, its end included."""
+    parts = [_word_costs(spelled[i:i + WORDS_AT_ONCE], model) for i in range(0, len(spelled), WORDS_AT_ONCE)]
+    return np.concatenate(parts) if parts else np.zeros((0, len(model["langs"])))
+
+
+def _word_costs(spelled: list[str], model: dict) -> np.ndarray:
     order, size = model["order"], np.fromiter(map(len, spelled), np.int64, len(spelled))
     code = _codes([START * (order - 1) + w + END for w in spelled])
     hashes = ngram_hashes(code, order)
@@ -197,8 +203,8 @@ def identify(docs: DataFrame, model: dict, text: str = "text", keep: list[str] |
                 yield pa.RecordBatch.from_arrays(out, names=[*keep, "lang_pred", "score", "cross_entropy", "rejected"])
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(
-        run, f"{kinds}lang_pred string, score double, cross_entropy double, rejected boolean")
+    return map_arrow(
+        docs.select(*keep, F.col(text).alias("__text")), run, f"{kinds}lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
 def fit(docs: DataFrame, train, text: str = "text", lang: str = "lang", id_col: str = "doc_id", order: int = ORDER,

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.llm.common import slices
+from txguard.llm.common import map_arrow, slices
 
 SHRINK = 0.1
 FLOOR = 0.02       # of the pooled variance of a statistic
@@ -82,7 +82,7 @@ def statistics(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
                 yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(c) for c in m.T)], names=["id", *(f"s{i}" for i in range(len(NAMES)))])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    out = rows.mapInArrow(run, f"id {kind}, " + ", ".join(f"s{i} double" for i in range(len(NAMES))))
+    out = map_arrow(rows, run, f"id {kind}, " + ", ".join(f"s{i} double" for i in range(len(NAMES))))
     return out.withColumnRenamed("id", id_col)
 
 
@@ -139,4 +139,4 @@ def score(stats: DataFrame, model: dict, id_col: str = "doc_id", temperature: fl
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(p, pa.float64())], names=["id", "score"])
 
     rows = stats.withColumnRenamed(id_col, "id")
-    return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return map_arrow(rows, run, f"id {kind}, score double").withColumnRenamed("id", id_col)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from txguard.llm.common import pinned, slices
+from txguard.llm.common import map_arrow, pinned, slices
 
 BITS = 64
 BLOCKS = 6
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", sh
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fps, pa.int64())], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, fp bigint")
+    out = map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), run, f"id {kind}, fp bigint")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -209,7 +209,7 @@ def links(nodes: DataFrame, radius: int = 4, blocks: int = BLOCKS, small_shard:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     by = ("c", "key", "i", "j")
-    return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a bigint, b bigint").distinct()
+    return map_arrow(dealt.repartition(*by).sortWithinPartitions(*by), run, "a bigint, b bigint").distinct()
 
 
 # ---- connected components ------------------------------------------------

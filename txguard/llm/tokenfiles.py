@@ -44,14 +44,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from txguard.llm.common import gather, slices, words, worker_cache
+from txguard.llm.common import gather, map_arrow, slices, words, worker_cache
 from txguard.session import fresh_shared_path
 
 LENGTH = 2048
 ROWS = 256
 END_ID = 2
-SLICE = 4 << 20
-CACHED_PIECES = 1_000_000
+SLICE = 2 << 20
+CACHED_PIECES = 120_000
 PLAIN = re.compile("[!-~\u00a1-\u00ff]+")  # Latin-1 without blanks and controls: lower-casing is all that normalizing does
 
 
@@ -236,7 +236,7 @@ def write(docs: DataFrame, folder: str | None = None, tokenizer: str | None = No
 
     _make(spark, folder)
     ordered = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).repartitionByRange("id").sortWithinPartitions("id", "text")
-    shards = ordered.mapInArrow(run, "shard int, n_docs bigint, n_tokens bigint")
+    shards = map_arrow(ordered, run, "shard int, n_docs bigint, n_tokens bigint")
     shards.write.parquet(f"{folder}/shards")
     return folder
 
@@ -281,7 +281,7 @@ def read_documents(spark: SparkSession, folder: str, id_type: str = "bigint", id
                         held, at = held[upto - at:], upto
 
     many = max(1, shards.count())
-    out = shards.repartition(many, "shard").mapInArrow(run, f"id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    out = map_arrow(shards.repartition(many, "shard"), run, f"id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.llm.common import slices, stored
+from txguard.llm.common import map_arrow, slices, stored
 from txguard.llm.decontaminate import item_words
 
 # Terms that name a group, by kind; a swap stays within its kind.
@@ -90,7 +90,7 @@ def _sample_words(docs: DataFrame, picked: DataFrame, text: str, id_col: str) ->
                                                  names=["label", "key", "words"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(picked, "id")
-    found = rows.select("label", "text").mapInArrow(run, "label int, key bigint, words array<binary>")
+    found = map_arrow(rows.select("label", "text"), run, "label int, key bigint, words array<binary>")
     return found.groupBy("label", "key").agg(F.min("words").alias("words"))
 
 
@@ -166,13 +166,18 @@ def fit(docs: DataFrame, labels: DataFrame, train, text: str = "text", id_col: s
     vocabulary = [bytes(r["word"]) for r in ranked.select("word").collect()]
     if not vocabulary:
         return {"weights": {}, "intercept": float(np.log(counts[1] / counts[0]))}
-    known_words = F.array(*[F.lit(w) for w in vocabulary])
-    rows = sample.select("label", F.array_intersect("words", known_words).alias("words")).collect()
     place = {w: i for i, w in enumerate(vocabulary)}
-    x = np.zeros((len(rows), len(vocabulary)), np.float32)
-    for i, r in enumerate(rows):
-        x[i, [place[bytes(w)] for w in r["words"]]] = 1
-    y = np.array([r["label"] for r in rows], np.float32)
+
+    def placed(batches):
+        for batch in batches:
+            found = [np.array([place[w] for w in words if w in place], np.uint16).tobytes() for words in batch.column("words").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.binary())], names=["label", "at"])
+
+    rows = map_arrow(sample.select("label", "words"), placed, "label int, at binary").toArrow()
+    x = np.zeros((rows.num_rows, len(vocabulary)), np.float32)
+    for i, at in enumerate(rows.column("at").to_pylist()):
+        x[i, np.frombuffer(at, np.uint16)] = 1
+    y = rows.column("label").to_numpy().astype(np.float32)
     w, b = fit_logistic(x, y, swap_rows(x, vocabulary), l2, swap_penalty)
     b += float(np.log(counts[1] / counts[0]) - np.log(n1 / n0))
     return {"weights": {v: float(c) for v, c in zip(vocabulary, w, strict=True)}, "intercept": b}
@@ -198,7 +203,7 @@ def score(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | No
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + [pa.array(p, pa.float64())], names=[*keep, "__score"])
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    out = docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, f"{kinds}`__score` double")
+    out = map_arrow(docs.select(*keep, F.col(text).alias("__text")), run, f"{kinds}`__score` double")
     return out.withColumnRenamed("__score", "score")
 
 
@@ -211,4 +216,4 @@ def keep_clean(docs: DataFrame, model: dict, text: str = "text", threshold: floa
             for part in slices(batch, text):
                 yield part.filter(pa.array(probabilities(part.column(text), shared.value) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
