@@ -92,16 +92,6 @@ def fixed(c, decimals: int) -> Column:
     return F.when(_finite(x), F.concat(sign, body))
 
 
-def _text_of_rounded(r: Column, negative: Column, decimals: int) -> Column:
-    mag = F.abs(r)
-    k = 10 ** decimals
-    sign = F.when(negative, F.lit("-")).otherwise(F.lit(""))
-    if decimals == 0:
-        return F.concat(sign, mag.cast("string"))
-    return F.concat(sign, (mag / F.lit(k)).cast("long").cast("string"), F.lit("."),
-                    F.lpad(F.pmod(mag, F.lit(k)).cast("string"), decimals, "0"))
-
-
 def _q(name: str) -> str:
     """Back-quoted column name for SQL expression text."""
     return "`" + name.replace("`", "``") + "`"

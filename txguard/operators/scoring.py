@@ -48,13 +48,6 @@ class LinearScorer:
     def probability(self, df: DataFrame) -> Column:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.logit(df)))
 
-    def sql_probability(self, q: str = '"') -> str:
-        """The same score as SQL over a view that already carries the features."""
-        terms = [repr(float(self.intercept))]
-        for feat, w in self.weights.items():
-            terms.append(f"{float(w)!r} * {q}{feat}{q}")
-        return f"1.0 / (1.0 + exp(-({' + '.join(terms)})))"
-
 
 # Default demonstration model: larger amounts, far-away merchants and night
 # hours raise the score.

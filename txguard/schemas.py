@@ -69,13 +69,6 @@ LABELED_INPUT_COLUMNS = [
     "gender", "street", "city", "state", "zip", "lat", "long", "city_pop",
     "job", "dob", "merch_lat", "merch_long", "is_fraud", "current_time",
 ]
-DECISION_KEYS = [
-    "model_name", "champion_version", "challenger_version",
-    "champion_average_precision", "challenger_average_precision",
-    "champion_recall_fraud", "challenger_recall_fraud",
-    "champion_precision_fraud", "challenger_precision_fraud", "promoted",
-    "decision_reason",
-]
 
 # Alternative names the alert message accepts, first non-null wins.
 ALERT_FIELD_ALTERNATIVES = {
@@ -156,7 +149,6 @@ DECISIONS_SCHEMA = _struct(
 )
 
 # Append-only ledgers that replace the mutable flag columns (no UPDATE).
-INTEGRATION_EVENTS_SCHEMA = _struct(("trans_num", _S), ("integrated_at", _TS))
 ALERT_STATUS_EVENTS_SCHEMA = _struct(
     ("trans_num", _S), ("notification_status", _S), ("at", _TS))
 MODEL_VERSIONS_SCHEMA = _struct(
