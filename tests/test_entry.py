@@ -24,7 +24,7 @@ def test_every_query_has_an_id_key_and_most_have_oracles():
         head = name.split("_")[0]
         assert head[0] in "spqjaoufmgtd" and head[1:].isdigit(), name
     without = sorted(set(q) - set(o))
-    assert without == ["m7_logistic_regression", "m8_random_forest", "m9_boosted_trees"]
+    assert without == []
 
 
 def test_plans_have_no_python_udf(spark):
