@@ -17,10 +17,10 @@ shard, is stored beside the files.
 
 Tokenizing.  White space ends a pre-token in the tokenizers used here, so the
 ids of a text are the ids of its white-space runs one after another, and each
-distinct run of a slice is encoded once.  Runs of Latin-1 text are cut into
-pre-tokens by the pattern of the tokenizer's own file, and these are encoded
-many to a call; any other run is encoded by itself.  ``chunkable`` checks that
-the tokenizer is of this kind; any other tokenizer encodes whole texts.
+distinct run of a slice is encoded once.  Latin-1 text is cut into pre-tokens
+as the pattern of the tokenizer's own file does, and these are encoded many to
+a call; any other run is encoded by itself.  ``chunkable`` checks that the
+tokenizer is of this kind; any other tokenizer encodes whole texts.
 
 Rows.  A NULL text is an empty one and gives the end id alone.  A NULL id
 sorts first.  Repeated rows are documents of their own, rows tied on the id
@@ -50,8 +50,9 @@ from txguard.session import fresh_shared_path
 LENGTH = 2048
 ROWS = 256
 END_ID = 2
-SLICE = 2 << 20
-CACHED_PIECES = 120_000
+SLICE = 4 << 20
+CACHED_PIECES = 500_000
+PLAIN_TEXT = r"^[\t-\r !-&(-~\x{a1}-\x{ff}]*$"
 PLAIN = re.compile("[!-~\u00a1-\u00ff]+")  # Latin-1 without blanks and controls: lower-casing is all that normalizing does
 
 
@@ -79,8 +80,12 @@ class Encoder:
         if suffix:
             for piece, i in self.tok.get_vocab(with_added_tokens=True).items():
                 self.ends[i] = piece.endswith(suffix)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Encoded pre-tokens: their places, and their ids one after another."""
         self.index: dict[str, int] = {}
-        self.pieces: list[np.ndarray] = []
+        self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     @staticmethod
     def chunkable(spec: dict):
@@ -100,42 +105,39 @@ class Encoder:
         except (KeyError, TypeError, ValueError):
             return None
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode pre-tokens, hundreds to a call; the end-of-word pieces tell
-        them apart again."""
-        if len(self.index) + len(new) > CACHED_PIECES:
-            self.index.clear()
-            self.pieces.clear()
+    def places(self, pieces: list[str]) -> np.ndarray:
+        """Places of pre-tokens; unknown ones are encoded, hundreds to a call,
+        and the end-of-word pieces tell them apart again."""
+        if len(self.index) > CACHED_PIECES:
+            self._forget()
+        new = list({p for p in pieces if p not in self.index})
         groups = [new[i:i + 500] for i in range(0, len(new), 500)]
+        flat, counts = [self.flat], []
         for group, e in zip(groups, self.tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.asarray(e.ids, np.uint32)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(group) or (len(cuts) and cuts[-1] != len(ids)):
                 found = [np.asarray(x.ids, np.uint32) for x in self.tok.encode_batch_fast(group, add_special_tokens=False)]
-            else:
-                found = np.split(ids, cuts[:-1])
-            for piece, x in zip(group, found, strict=True):
-                self.index[piece] = len(self.pieces)
-                self.pieces.append(x)
+                ids, cuts = np.concatenate(found), np.cumsum([len(x) for x in found])
+            flat.append(ids)
+            counts.append(np.diff(cuts, prepend=0))
+        if new:
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+            self.flat = np.concatenate(flat)
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts))])
+        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
 
     def runs(self, runs: list[str]) -> list[np.ndarray]:
         """ids of every run."""
         cut = [self.split.findall(r.lower()) if PLAIN.fullmatch(r) and not self.added.search(r) else None for r in runs]
-        if len(self.index) > CACHED_PIECES // 2:
-            self.index.clear()
-            self.pieces.clear()
-        seen = {p for c in cut if c for p in c}
-        self._learn([p for p in seen if p not in self.index])
+        at = self.places([p for c in cut if c for p in c])
+        ids, lengths = gather(self.starts, self.flat, at)
+        counts = np.array([len(c) if c else 0 for c in cut], np.int64)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
+        out = np.split(ids, ends[:-1])
         rest = [i for i, c in enumerate(cut) if c is None]
-        other = dict(zip(rest, (np.asarray(e.ids, np.uint32) for e in self.tok.encode_batch_fast([runs[i] for i in rest], add_special_tokens=False)), strict=True)) if rest else {}
-        out = []
-        for i, c in enumerate(cut):
-            if c is None:
-                out.append(other[i])
-            elif len(c) == 1:
-                out.append(self.pieces[self.index[c[0]]])
-            else:
-                out.append(np.concatenate([self.pieces[self.index[p]] for p in c]) if c else np.zeros(0, np.uint32))
+        for i, e in zip(rest, self.tok.encode_batch_fast([runs[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = np.asarray(e.ids, np.uint32)
         return out
 
     def texts(self, text: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,13 +146,41 @@ class Encoder:
             found = [np.asarray(e.ids, np.uint32) for e in self.tok.encode_batch_fast(pc.fill_null(text, "").to_pylist(), add_special_tokens=False)]
             counts = np.array([len(x) + 1 for x in found], np.int64)
             return np.concatenate([np.append(x, np.uint32(end)) for x in found] or [np.zeros(0, np.uint32)]), counts
+        text = pc.fill_null(text, "")
+        plain = pc.and_(pc.match_substring_regex(text, PLAIN_TEXT), pc.invert(pc.match_substring(text, "<|")))
+        if pc.all(plain).as_py() is not False:
+            return self._plain(text, end)
+        if not pc.any(plain).as_py():
+            return self._mixed(text, end)
+        parts = [self._plain(text.filter(plain), end), self._mixed(text.filter(pc.invert(plain)), end)]
+        row = plain.to_numpy(zero_copy_only=False)
+        place = np.empty(len(row), np.int64)  # of each row among the plain ones, then the others
+        place[row], place[~row] = np.arange(row.sum()), row.sum() + np.arange((~row).sum())
+        counts = np.concatenate([c for _, c in parts])
+        ids, _ = gather(np.concatenate([[0], np.cumsum(counts)]), np.concatenate([i for i, _ in parts]), place)
+        return ids, counts[place]
+
+    def _plain(self, text: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Latin-1 texts without apostrophes: blanks around numerals and marks
+        make every pre-token a word."""
+        distinct, codes, offsets = words(pc.replace_substring_regex(pc.utf8_lower(text), r"(\p{N}|[^\p{L}\p{N}\s]+)", r" \1 "))
+        at = self.places(distinct.to_pylist())
+        return self._joined(self.starts, self.flat, at[codes], offsets, end)
+
+    def _mixed(self, text: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Any texts, run by run."""
         distinct, codes, offsets = words(text)
-        found = [*self.runs(distinct.to_pylist()), np.array([end], np.uint32)]
-        starts = np.concatenate([[0], np.cumsum([len(x) for x in found])])
-        # the end id is one more run, placed after each text's own
-        codes = np.insert(codes.astype(np.int64), offsets[1:], len(found) - 1)
-        ids, lengths = gather(starts, np.concatenate(found), codes)
-        upto = np.concatenate([[0], np.cumsum(lengths)])[np.arange(1, len(offsets)) + offsets[1:]]
+        found = self.runs(distinct.to_pylist())
+        starts = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
+        return self._joined(starts, np.concatenate(found) if found else np.zeros(0, np.uint32), codes.astype(np.int64), offsets, end)
+
+    @staticmethod
+    def _joined(starts, flat, index, offsets, end) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces ``index`` of each row one after another, then the end id."""
+        last = len(starts) - 1  # the end is one more piece, placed after each row's own
+        index = np.insert(index, offsets[1:], last)
+        ids, lengths = gather(np.append(starts, starts[-1] + 1), np.append(flat, np.uint32(end)), index)
+        upto = np.cumsum(lengths)[np.arange(len(offsets) - 1) + offsets[1:]]
         return ids, np.diff(upto, prepend=0)
 
 
