@@ -147,6 +147,8 @@ def fit(docs: DataFrame, labels: DataFrame, train, text: str = "text", id_col: s
     picked, counts = sampled(known, per_class, seed)
     if not counts.get(0) or not counts.get(1):
         return {"weights": {}, "intercept": -float("inf")}
+    # stored, so that its size is known: the sample is met by a broadcast, not by a shuffle of all texts
+    picked = stored(picked)
     sample = stored(_sample_words(docs.filter(train), picked, text, id_col))
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
