@@ -414,6 +414,24 @@ def test_filter_keeps_levels_within_its_bound(spark, max_bits):
         assert np.mean(absent > 0) < 0.02
 
 
+def test_filter_grows_and_scores_alike_by_broadcast_and_join(spark, docs):
+    held = spark.createDataFrame([(100, "one two four"), (101, "past the old mill zzz"), (None, PROSE)], "doc_id bigint, text string")
+    data = docs.select("doc_id", "text").unionByName(held)
+    train = F.coalesce(F.col("doc_id") < 100, F.lit(True))
+    by = [sorted(map(tuple, bloomlm.score(data, train, broadcast_bits=b, chunk_bytes=100_000).collect()), key=repr) for b in (1 << 40, 0)]
+    assert by[0] == by[1] and len(by[0]) == len(ROWS) + 3
+    # twice the n-grams, twice the filter, and every level stays
+    shapes = []
+    for n in (20_000, 40_000):
+        text = " ".join(f"w{i} w{i}" for i in range(n))
+        ranges = bloomlm.summed_ranges(bloomlm.ngram_ranges(spark.createDataFrame([(1, text), (2, text)], "doc_id bigint, text string"), "text", 4)).persist()
+        shapes.append(bloomlm.filter_shape(ranges, 4)["segment"])
+    assert 1.9 < shapes[1] / shapes[0] < 2.1
+    packed = bloomlm.build_filter(ranges, 4, max_bits=1 << 16)
+    kept = bloomlm.probe(packed, bloomlm.unigram(bloomlm.word_hashes(pa.array(["w5", "w39999"]))))
+    assert (kept >= 2).all()
+
+
 def test_levels_and_their_middles():
     c = np.arange(1, 5000)
     lv = bloomlm.level(c)

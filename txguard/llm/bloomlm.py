@@ -12,13 +12,16 @@ Counting.  A task reduces a slice of texts to its distinct n-gram hashes and
 deals them by their top bits to ranges, as arrays of the next 32 bits; a
 range sums its arrays.  The number of ranges grows with the text, so a range
 stays small and the hash gets longer as the corpus grows.  N-grams seen once
-are not held.  The filter has ``bits_per_entry`` bits for each pair, but at
-most ``max_bits`` (its proven bound: it is broadcast); beyond that the lowest
-levels are left to the unigram part, found from the counts of all n-grams.
-The filter of a range is one segment, built where the range is.
+are not held.  The filter has ``bits_per_entry`` bits for each pair and grows
+with them.  The filter of a range is one segment, built where the range is.
 
-Base score.  The unigram counts are exact: (chunk, word) pairs are joined with
-the counts of all words, and a chunk's words come back to its documents by a
+Probing.  Up to ``broadcast_bits`` the segments are broadcast.  Beyond, the
+distinct bigrams of a chunk are dealt to their ranges, probe the segment there
+and come back as one level each, in the order of their hashes.  Both ways read
+the same bits, so the scores are the same.
+
+Words.  The unigram counts of both scores are exact: (chunk, word) pairs are joined
+with the counts of all words, and a chunk's words come back to its documents by a
 cogroup.  A chunk is a hash bucket of documents with about ``CHUNK_BYTES`` of
 text, and a word occurs once per chunk, however frequent it is.
 
@@ -30,6 +33,9 @@ formula.  An empty table gives an empty result.  Further columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -45,7 +51,7 @@ RANGE_BYTES = 8 << 20   # of text per range
 BASE = 1.5              # of the levels
 PROBES = 3
 BITS_PER_ENTRY = 16
-MAX_BITS = 1 << 29
+BROADCAST_BITS = 1 << 27  # a larger filter is probed by a join
 LAMBDA = 0.6
 END_HASH = np.uint64(0x5DEECE66D1234567)
 
@@ -108,7 +114,7 @@ def sequences(codes: np.ndarray, offsets: np.ndarray, hashes: np.ndarray) -> tup
 
 # ---- counting ------------------------------------------------------------
 
-def ngram_ranges(docs: DataFrame, text: str, range_bits: int) -> DataFrame:
+def ngram_ranges(docs: DataFrame, text: str, range_bits: int, unigrams: bool = True) -> DataFrame:
     """(range, once, many, counts): distinct n-gram hashes of each slice."""
     def run(batches):
         for batch in batches:
@@ -117,9 +123,11 @@ def ngram_ranges(docs: DataFrame, text: str, range_bits: int) -> DataFrame:
                 hashes = word_hashes(distinct)
                 seq, _ = sequences(codes, offsets, hashes)
                 two, n_two = np.unique(bigram(seq[:-1], seq[1:]), return_counts=True)
-                one, n_one = unigram(np.append(hashes, END_HASH)), np.append(np.bincount(codes, minlength=len(hashes)), part.num_rows)
-                h, n = np.concatenate([two, one]), np.concatenate([n_two, n_one])
-                h, n = h[n > 0], n[n > 0]
+                h, n = two, n_two
+                if unigrams:
+                    one, n_one = unigram(np.append(hashes, END_HASH)), np.append(np.bincount(codes, minlength=len(hashes)), part.num_rows)
+                    h, n = np.concatenate([two, one]), np.concatenate([n_two, n_one])
+                    h, n = h[n > 0], n[n > 0]
                 order = np.argsort(h)
                 where, rest = split_hash(h[order], range_bits)
                 n = n[order]
@@ -156,51 +164,107 @@ def summed_ranges(dealt: DataFrame, base: float = BASE) -> DataFrame:
     return dealt.groupBy("range").applyInArrow(run, "range int, rest binary, levels binary, histogram array<bigint>")
 
 
-def build_filter(ranges: DataFrame, range_bits: int, bits_per_entry: int = BITS_PER_ENTRY, max_bits: int = MAX_BITS,
-                 probes: int = PROBES, base: float = BASE) -> dict:
-    """The filter: one bit segment per range."""
+def filter_shape(ranges: DataFrame, range_bits: int, bits_per_entry: int = BITS_PER_ENTRY, probes: int = PROBES,
+                 base: float = BASE) -> dict:
+    """The filter but for its bits: ``segment`` is the bits of a range."""
     found = ranges.select(F.posexplode("histogram").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n")).collect()
     by_level = {r["level"]: r["n"] for r in found if r["n"]}
-    least, entries = 1, sum(lv * n for lv, n in by_level.items())
-    while entries * bits_per_entry > max_bits:  # the lowest level held
-        entries -= least * by_level.get(least, 0)
-        least += 1
+    entries = sum(lv * n for lv, n in by_level.items())
     segment = max(64, -(-entries * bits_per_entry >> range_bits) // 8 * 8 + 8)
-    segment = min(segment, max_bits >> range_bits)
+    return {"segment": segment, "range_bits": range_bits, "probes": probes, "base": base, "top": max(by_level, default=0)}
+
 
+def segments(ranges: DataFrame, shape: dict) -> DataFrame:
+    """(range, bits): the filter's segment of every range."""
     def run(batches):
         for batch in batches:
             for r, rest, levels in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 x, lv = np.frombuffer(rest, np.uint32), np.frombuffer(levels, np.uint8)
-                x, lv = x[lv >= least], lv[lv >= least]
-                flags = np.zeros(segment, bool)
+                flags = np.zeros(shape["segment"], bool)
                 for j in range(1, int(lv.max(initial=0)) + 1):
-                    for p in range(probes):
-                        flags[bit_places(x[lv >= j], j, p, segment)] = True
+                    x, lv = x[lv >= j], lv[lv >= j]
+                    for p in range(shape["probes"]):
+                        flags[bit_places(x, j, p, shape["segment"])] = True
                 yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["range", "bits"])
 
-    size = segment // 8
-    bits = np.zeros(size << range_bits, np.uint8)
-    for r in map_arrow(ranges.select("range", "rest", "levels"), run, "range int, bits binary").toLocalIterator():
-        bits[r["range"] * size:(r["range"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
-    return {"bits": bits, "segment": segment, "range_bits": range_bits, "probes": probes, "base": base, "top": max(by_level, default=0)}
+    return map_arrow(ranges.select("range", "rest", "levels"), run, "range int, bits binary")
 
 
-def probe(flt: dict, h: np.ndarray) -> np.ndarray:
-    """Level of every hash: probed upwards until a level is missing."""
-    where, rest = split_hash(h, flt["range_bits"])
-    at, lv = where * flt["segment"], np.zeros(len(h), np.int64)
-    live = np.arange(len(h))
-    for j in range(1, flt["top"] + 1):
-        for p in range(flt["probes"]):
-            place = at[live] + bit_places(rest[live], j, p, flt["segment"])
-            live = live[(flt["bits"][place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1]
+def build_filter(ranges: DataFrame, range_bits: int, max_bits: int | None = None, shape: dict | None = None) -> dict:
+    """The whole filter on the driver.  ``max_bits`` packs all entries into at
+    most so many bits, with more false positives; ``score`` does not ask it."""
+    shape = shape or filter_shape(ranges, range_bits)
+    if max_bits is not None:
+        shape = shape | {"segment": min(shape["segment"], max(64, max_bits >> range_bits))}
+    size = shape["segment"] // 8
+    bits = np.zeros(size << range_bits, np.uint8)
+    for r in segments(ranges, shape).toLocalIterator():
+        bits[r["range"] * size:(r["range"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    return shape | {"bits": bits}
+
+
+def probe_rest(shape: dict, bits: np.ndarray, at, rest: np.ndarray) -> np.ndarray:
+    """Level of every hash, its segment starting at bit ``at``: probed upwards
+    until a level is missing."""
+    at, lv = np.broadcast_to(at, len(rest)), np.zeros(len(rest), np.int64)
+    live = np.arange(len(rest))
+    for j in range(1, shape["top"] + 1):
+        for p in range(shape["probes"]):
+            place = at[live] + bit_places(rest[live], j, p, shape["segment"])
+            live = live[(bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1]
         if not len(live):
             break
         lv[live] = j
     return lv
 
 
+def probe(flt: dict, h: np.ndarray) -> np.ndarray:
+    where, rest = split_hash(h, flt["range_bits"])
+    return probe_rest(flt, flt["bits"], where * flt["segment"], rest)
+
+
+def tokenised(text: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """(distinct words, codes, offsets, word hashes) of bounded pieces of texts."""
+    for part in slices(pa.RecordBatch.from_arrays([text], names=["text"]), "text", 8 << 20):
+        distinct, codes, offsets = lower_words(part.column("text"))
+        yield distinct, codes, offsets, word_hashes(distinct)
+
+
+def distinct_bigrams(pieces) -> np.ndarray:
+    """Sorted hashes of the bigrams of ``tokenised`` pieces."""
+    found = []
+    for _, codes, offsets, hashes in pieces:
+        seq, _ = sequences(codes, offsets, hashes)
+        found.append(np.unique(bigram(seq[:-1], seq[1:])))
+    return np.unique(np.concatenate(found))
+
+
+def joined_levels(rows: DataFrame, ranges: DataFrame, shape: dict) -> DataFrame:
+    """(chunk, range, levels) of the distinct bigrams of every chunk of
+    ``rows`` (chunk, id, text), in the order of their hashes."""
+    bits = shape["range_bits"]
+
+    def ask(t: pa.Table) -> pa.Table:
+        where, rest = split_hash(distinct_bigrams(tokenised(t.column("text").combine_chunks())), bits)
+        cuts = np.searchsorted(where, np.arange((1 << bits) + 1)).tolist()
+        found = [(r, rest[a:b].tobytes()) for r, (a, b) in enumerate(itertools.pairwise(cuts)) if b > a]
+        return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()] * len(found), pa.int32()),
+                         "range": pa.array([r for r, _ in found], pa.int32()), "rest": pa.array([x for _, x in found], pa.binary())})
+
+    def answer(t: pa.Table, segment: pa.Table) -> pa.Table:
+        out = []
+        flags = np.frombuffer(segment.column("bits")[0].as_py(), np.uint8) if segment.num_rows else None
+        for x in t.column("rest").to_pylist():
+            rest = np.frombuffer(x, np.uint32)
+            lv = np.zeros(len(rest), np.int64) if flags is None else probe_rest(shape, flags, 0, rest)
+            out.append(lv.astype(np.uint8).tobytes())
+        return pa.table({"chunk": t.column("chunk"), "range": t.column("range"), "levels": pa.array(out, pa.binary())})
+
+    asked = rows.groupBy("chunk").applyInArrow(ask, "chunk int, range int, rest binary")
+    return asked.groupBy("range").cogroup(segments(ranges, shape).groupBy("range")).applyInArrow(
+        answer, "chunk int, range int, levels binary")
+
+
 # ---- scoring -------------------------------------------------------------
 
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -216,21 +280,22 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return found.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def model_log10(flt: dict, totals: dict, hashes: np.ndarray, codes: np.ndarray, offsets: np.ndarray, weight: float) -> np.ndarray:
-    """log10 probability of every text under the filter's bigrams."""
+def model_log10(levels, base: float, totals: dict, counts: np.ndarray, hashes: np.ndarray, codes: np.ndarray,
+                offsets: np.ndarray, weight: float) -> np.ndarray:
+    """log10 probability of every text; ``levels`` gives the filter's level of
+    sorted bigram hashes, ``counts`` are the exact ones of the distinct words."""
     seq, starts = sequences(codes, offsets, hashes)
     pairs, where = np.unique(bigram(seq[:-1], seq[1:]), return_inverse=True)
-    both = quantised(probe(flt, pairs), flt["base"])[where]
-    one = quantised(probe(flt, unigram(np.append(hashes, END_HASH))), flt["base"])
+    both = quantised(levels(pairs), base)[where]
     # counts of all tokens in the same order, the end behind each text
-    each = np.insert(one[codes], offsets[1:], one[-1])
-    share = np.minimum(both / np.maximum(np.concatenate([one[-1:], each[:-1]]), 1.0), 1.0)
+    each = np.insert(counts[codes], offsets[1:], totals["ends"])
+    share = np.minimum(both / np.maximum(np.concatenate([[totals["ends"]], each[:-1]]), 1.0), 1.0)
     p = weight * share + (1 - weight) * (each + 0.5) / (totals["n"] + 0.5 * (totals["v"] + 1))
     return row_sums(np.log10(np.minimum(p, 1.0)), starts)
 
 
 def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc_id", weight: float = LAMBDA,
-          max_bits: int = MAX_BITS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+          broadcast_bits: int = BROADCAST_BITS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """id_col, n_tokens, n_known, train_tokens, base_score, score; learned
     from the documents that fulfil ``train``."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
@@ -241,8 +306,10 @@ def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc
     ends = learned.count()
     totals = {"n": (summed["n"] or 0) + ends, "v": summed["v"] + (ends > 0), "ends": ends}
     range_bits = max(4, int(np.ceil(np.log2(max(1, size / RANGE_BYTES)))))
-    ranges = stored(summed_ranges(ngram_ranges(learned, text, range_bits)))
-    shared = spark.sparkContext.broadcast((build_filter(ranges, range_bits, max_bits=max_bits), totals))
+    ranges = stored(summed_ranges(ngram_ranges(learned, text, range_bits, unigrams=False)))
+    shape = filter_shape(ranges, range_bits)
+    small = shape["segment"] << range_bits <= broadcast_bits
+    shared = spark.sparkContext.broadcast(build_filter(ranges, range_bits, shape=shape)) if small else None
 
     chunks = max(1, -(-size // chunk_bytes))
     rows = docs.select(F.pmod(F.xxhash64(id_col), F.lit(chunks)).cast("int").alias("chunk"), F.col(id_col).alias("id"), F.col(text).alias("text"))
@@ -253,25 +320,41 @@ def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc
         return pa.table({"chunk": pa.array(np.full(len(distinct), t.column("chunk")[0].as_py()), pa.int32()), "word": distinct})
 
     known = rows.groupBy("chunk").applyInArrow(vocabulary, "chunk int, word string").join(counts, "word").select("chunk", "word", "c")
+    if small:
+        known = known.select("*", F.lit(None).cast("int").alias("range"), F.lit(None).cast("binary").alias("levels"))
+    else:
+        known = known.unionByName(joined_levels(rows, ranges, shape), allowMissingColumns=True)
 
     def run(t: pa.Table, found: pa.Table) -> pa.Table:
-        flt, totals = shared.value
         out = []
-        parts = [p for b in t.select(["id", "text"]).combine_chunks().to_batches() for p in slices(b, "text", 8 << 20)]
-        values, c = found.column("word").combine_chunks(), np.append(found.column("c").to_numpy(), 0)
-        for part in parts:
-            distinct, codes, offsets = lower_words(part.column("text"))
+        t = t.select(["id", "text"]).combine_chunks()
+        pieces = list(tokenised(t.column("text").combine_chunks()))
+        learned = found.filter(pc.is_valid(found.column("word")))
+        values, c = learned.column("word").combine_chunks(), np.append(learned.column("c").to_numpy(), 0)
+        if small:
+            def levels(h):
+                return probe(shared.value, h)
+        else:
+            answers = found.filter(pc.is_valid(found.column("levels"))).sort_by("range").column("levels").to_pylist()
+            asked, got = distinct_bigrams(pieces), np.frombuffer(b"".join(answers), np.uint8).astype(np.int64)
+
+            def levels(h):
+                return got[np.searchsorted(asked, h)]
+        first = 0
+        for distinct, codes, offsets, hashes in pieces:
+            ids = t.column("id").combine_chunks().slice(first, len(offsets) - 1)
+            first += len(offsets) - 1
             at = pc.fill_null(pc.index_in(distinct, value_set=values), len(values)).to_numpy()
             n = c[at]
             all_ = totals["n"] + 0.5 * (totals["v"] + 1)
             log, end = np.log10((n + 0.5) / all_), float(np.log10((totals["ends"] + 0.5) / all_))
             out.append(pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(np.diff(offsets) + 1, pa.int64()),
+                [ids, pa.array(np.diff(offsets) + 1, pa.int64()),
                  pa.array(row_sums((n[codes] > 0).astype(np.int64), offsets) + int(totals["ends"] > 0), pa.int64()),
-                 pa.array(np.full(part.num_rows, totals["n"]), pa.int64()),
+                 pa.array(np.full(len(ids), totals["n"]), pa.int64()),
                  pa.array(row_sums(log[codes], offsets) + end),
-                 pa.array(model_log10(flt, totals, word_hashes(distinct), codes, offsets, weight))],
-                schema=schema(part.column("id").type)))
+                 pa.array(model_log10(levels, shape["base"], totals, n, hashes, codes, offsets, weight))],
+                schema=schema(ids.type)))
         return pa.Table.from_batches(out, schema(t.column("id").type))
 
     def schema(id_type: pa.DataType) -> pa.Schema:
