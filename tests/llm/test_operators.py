@@ -311,6 +311,26 @@ def test_toxicity_holds_out_and_is_fair_to_groups(spark, docs, none):
     assert {r["score"] for r in toxicity.score(docs, nothing, keep=["doc_id"]).collect()} == {0.0}
 
 
+def test_a_group_named_in_toxic_texts_does_not_make_a_neutral_one_toxic(spark):
+    rng = np.random.default_rng(3)
+    fill = [f"v{k}" for k in range(60)]
+    rows = []
+    for i in range(900):
+        toxic = i % 3 == 0
+        group = "women" if toxic and i % 10 else ("men", "girls", "women")[i % 3] if i % 2 else "boys"
+        rows.append((i, " ".join([*rng.choice(fill, 8), *(["vile"] if toxic and i % 4 else []), group]), int(toxic)))
+    data = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    neutral = spark.createDataFrame([(t, f"v1 v2 v3 {t} v4 v5") for t in ("women", "men", "girls", "boys")], "term string, text string")
+
+    def gap(penalty):
+        model = toxicity.fit(data, data.select("doc_id", "toxic"), F.lit(True), swap_penalty=penalty)
+        p = np.array([r["score"] for r in toxicity.score(neutral, model).collect()])
+        return float(np.ptp(np.log(p / (1 - p)))), p.max()
+
+    (fair, most), (unfair, _) = gap(toxicity.SWAP_PENALTY), gap(0.0)
+    assert fair < 0.25 * unfair and most < toxicity.THRESHOLD
+
+
 def test_language_models(spark, docs, none):
     en = [(i, f"{PROSE} number {w}", "en") for i, w in enumerate(PROSE.split())]
     fr = [(100 + i, f"le vieux moulin au bord de la rivière tournait lentement quand {w} arriva", "fr") for i, w in enumerate("maman papa michel jeanne pierre lucie".split())]

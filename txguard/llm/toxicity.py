@@ -4,8 +4,9 @@ Logistic regression over the presence of selected words and word beginnings.  Be
 loss, every sampled text that names a group is paired with copies in which the
 group terms are swapped for others of their kind, and the squared difference
 of the two logits is penalised: naming a group can then not move a score far,
-so neutral mentions are not taken for toxicity.  A swap changes the presence
-of group terms only, so a pair is the difference of two sparse rows.
+so neutral mentions are not taken for toxicity.  A group term has no feature but
+its own word, so a swap changes the presence of those features only, and a
+pair is the difference of two sparse rows.
 
 Fitting uses a bounded sample: at most about ``per_class`` labelled documents
 of each class, drawn by a hash of the id and one of each set of near copies
@@ -40,6 +41,7 @@ GROUPS: dict[str, tuple[str, ...]] = {
     "orientation": ("gay", "lesbian", "straight", "bisexual", "queer", "homosexual", "heterosexual"),
     "ability": ("deaf", "blind", "disabled", "autistic"),
 }
+TERMS = frozenset(t.encode() for terms in GROUPS.values() for t in terms)
 PER_CLASS = 4000
 MAX_WORDS = 2048
 MIN_SUPPORT = 3
@@ -53,9 +55,11 @@ STEPS = 600
 
 def features(text: bytes | None) -> set[bytes]:
     """Distinct words of a text (after ``=``), and their first four and five
-    bytes, which catch stems behind any ending."""
+    bytes, which catch stems behind any ending.  Group terms give no beginnings:
+    those would move a score past the penalty on swaps."""
     words = set(item_words(text))
-    return {b"=" + w for w in words} | {w[:4] for w in words} | {w[:5] for w in words}
+    stems = words - TERMS
+    return {b"=" + w for w in words} | {w[:4] for w in stems} | {w[:5] for w in stems}
 
 
 def learnable(docs: DataFrame, labels: DataFrame, label: str, train, id_col: str = "doc_id") -> DataFrame:
