@@ -452,6 +452,18 @@ def test_filter_grows_and_scores_alike_by_broadcast_and_join(spark, docs):
     assert (kept >= 2).all()
 
 
+def test_a_bigram_seen_once_counts_as_one(spark):
+    rows = [(1, "alpha beta gamma delta"), (2, "alpha gamma beta delta"), (3, "alpha beta gamma delta"), (4, "delta gamma")]
+    out = {r["doc_id"]: r for r in bloomlm.score(spark.createDataFrame(rows, "doc_id bigint, text string"), F.col("doc_id") <= 2, min_count=1).collect()}
+    c = Counter({"alpha": 2, "beta": 2, "gamma": 2, "delta": 2, " ": 2})
+    two = Counter(p for _, t in rows[:2] for p in zip([" ", *t.split()], [*t.split(), " "], strict=True))
+    n, v = sum(c.values()), len(c)
+    for i, t in rows[2:]:
+        want = sum(log10(0.6 * two[p] / c[p[0]] + 0.4 * (c[p[1]] + 0.5) / (n + 0.5 * (v + 1)))
+                   for p in zip([" ", *t.split()], [*t.split(), " "], strict=True))
+        assert abs(out[i]["score"] - want) < 1e-9
+
+
 def test_levels_and_their_middles():
     c = np.arange(1, 5000)
     lv = bloomlm.level(c)

@@ -11,8 +11,7 @@ share of its first word with the smoothed unigram.
 Counting.  A task reduces a slice of texts to its distinct n-gram hashes and
 deals them by their top bits to ranges, as arrays of the next 32 bits; a
 range sums its arrays.  The number of ranges grows with the text, so a range
-stays small and the hash gets longer as the corpus grows.  N-grams seen once
-are not held.  The filter has ``bits_per_entry`` bits for each pair and grows
+stays small and the hash gets longer as the corpus grows.  The filter has ``bits_per_entry`` bits for each pair and grows
 with them.  The filter of a range is one segment, built where the range is.
 
 Probing.  Up to ``broadcast_bits`` the segments are broadcast.  Beyond, the
@@ -22,7 +21,7 @@ the same bits, so the scores are the same.
 
 Words.  The unigram counts of both scores are exact: (chunk, word) pairs are joined
 with the counts of all words, and a chunk's words come back to its documents by a
-cogroup.  A chunk is a hash bucket of documents with about ``CHUNK_BYTES`` of
+cogroup.  A chunk is a hash bucket of documents with about ``SCORE_BYTES`` of
 text, and a word occurs once per chunk, however frequent it is.
 
 Rows.  A NULL text is an empty one: its only token is the end.  Repeated rows
@@ -46,6 +45,7 @@ from pyspark.sql import functions as F
 from txguard.llm.common import map_arrow, row_sums, slices, stored, words
 
 CHUNK_BYTES = 24 << 20
+SCORE_BYTES = 16 << 20  # of text per chunk: held by one task with its bigrams
 BATCH_BYTES = 64 << 20   # counting gains from large slices: words repeat
 RANGE_BYTES = 8 << 20   # of text per range
 BASE = 1.5              # of the levels
@@ -143,8 +143,8 @@ def ngram_ranges(docs: DataFrame, text: str, range_bits: int, unigrams: bool = T
     return map_arrow(docs.select(F.col(text).alias("text")), run, "range int, once binary, many binary, counts binary", BATCH_BYTES)
 
 
-def summed_ranges(dealt: DataFrame, base: float = BASE) -> DataFrame:
-    """(range, rest, levels, histogram) of the n-grams seen twice or more."""
+def summed_ranges(dealt: DataFrame, base: float = BASE, min_count: int = 1) -> DataFrame:
+    """(range, rest, levels, histogram) of the n-grams seen ``min_count`` times or more."""
     def run(t: pa.Table) -> pa.Table:
         def joined(name, dtype):
             return np.concatenate([np.frombuffer(x, dtype) for x in t.column(name).to_pylist()])
@@ -156,7 +156,7 @@ def summed_ranges(dealt: DataFrame, base: float = BASE) -> DataFrame:
         keys = keys[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         n = np.add.reduceat(n, first)
-        rest, lv = keys[first][n > 1], level(n[n > 1], base)
+        rest, lv = keys[first][n >= min_count], level(n[n >= min_count], base)
         return pa.table({"range": t.column("range")[:1], "rest": pa.array([rest.tobytes()], pa.binary()),
                          "levels": pa.array([lv.astype(np.uint8).tobytes()], pa.binary()),
                          "histogram": pa.array([np.bincount(lv, minlength=1).tolist()], pa.list_(pa.int64()))})
@@ -295,9 +295,10 @@ def model_log10(levels, base: float, totals: dict, counts: np.ndarray, hashes: n
 
 
 def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc_id", weight: float = LAMBDA,
-          broadcast_bits: int = BROADCAST_BITS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+          broadcast_bits: int = BROADCAST_BITS, chunk_bytes: int = SCORE_BYTES, min_count: int = 2) -> DataFrame:
     """id_col, n_tokens, n_known, train_tokens, base_score, score; learned
-    from the documents that fulfil ``train``."""
+    from the documents that fulfil ``train``.  The filter holds the bigrams
+    that they have ``min_count`` times or more; 1 leaves none out."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     size = docs.agg(F.sum(F.octet_length(text)).alias("b")).first()["b"] or 0
     learned = docs.filter(train)
@@ -306,7 +307,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc
     ends = learned.count()
     totals = {"n": (summed["n"] or 0) + ends, "v": summed["v"] + (ends > 0), "ends": ends}
     range_bits = max(4, int(np.ceil(np.log2(max(1, size / RANGE_BYTES)))))
-    ranges = stored(summed_ranges(ngram_ranges(learned, text, range_bits, unigrams=False)))
+    ranges = stored(summed_ranges(ngram_ranges(learned, text, range_bits, unigrams=False), min_count=min_count))
     shape = filter_shape(ranges, range_bits)
     small = shape["segment"] << range_bits <= broadcast_bits
     shared = spark.sparkContext.broadcast(build_filter(ranges, range_bits, shape=shape)) if small else None
@@ -336,10 +337,10 @@ def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc
                 return probe(shared.value, h)
         else:
             answers = found.filter(pc.is_valid(found.column("levels"))).sort_by("range").column("levels").to_pylist()
-            asked, got = distinct_bigrams(pieces), np.frombuffer(b"".join(answers), np.uint8).astype(np.int64)
+            asked, got = distinct_bigrams(pieces), np.frombuffer(b"".join(answers), np.uint8)
 
             def levels(h):
-                return got[np.searchsorted(asked, h)]
+                return got[np.searchsorted(asked, h)].astype(np.int64)
         first = 0
         for distinct, codes, offsets, hashes in pieces:
             ids = t.column("id").combine_chunks().slice(first, len(offsets) - 1)

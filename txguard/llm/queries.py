@@ -109,7 +109,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_bloom_lm")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), F.coalesce(fold("doc_id", 5) == 1, F.lit(False))
-    return bloomlm.score(docs, ~held).select(
+    return bloomlm.score(docs, ~held, min_count=1).select(
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
