@@ -464,6 +464,12 @@ def test_a_bigram_seen_once_counts_as_one(spark):
         assert abs(out[i]["score"] - want) < 1e-9
 
 
+def test_rows_of_one_id_spread_over_chunks(spark):
+    rows = spark.createDataFrame([(None if i % 2 else 7, f"text {i}") for i in range(400)], "doc_id bigint, text string")
+    found = rows.groupBy(bloomlm.chunk_of("doc_id", "text", 10).alias("chunk")).count().collect()
+    assert len(found) == 10 and max(r["count"] for r in found) < 80
+
+
 def test_levels_and_their_middles():
     c = np.arange(1, 5000)
     lv = bloomlm.level(c)

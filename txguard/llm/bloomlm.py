@@ -25,8 +25,7 @@ cogroup.  A chunk is a hash bucket of documents with about ``SCORE_BYTES`` of
 text, and a word occurs once per chunk, however frequent it is.
 
 Rows.  A NULL text is an empty one: its only token is the end.  Repeated rows
-are documents of their own.  A NULL id goes into the same bucket as the hash
-of NULL.  Without training documents N and V are 0 and the base is that of the
+are documents of their own.  Rows without an id are dealt by their text.  Without training documents N and V are 0 and the base is that of the
 formula.  An empty table gives an empty result.  Further columns are ignored.
 """
 
@@ -294,6 +293,11 @@ def model_log10(levels, base: float, totals: dict, counts: np.ndarray, hashes: n
     return row_sums(np.log10(np.minimum(p, 1.0)), starts)
 
 
+def chunk_of(id_col: str, text: str, chunks: int) -> Column:
+    """The text is hashed too, so that rows of one id, or of none, spread."""
+    return F.pmod(F.xxhash64(id_col, text), F.lit(chunks)).cast("int")
+
+
 def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc_id", weight: float = LAMBDA,
           broadcast_bits: int = BROADCAST_BITS, chunk_bytes: int = SCORE_BYTES, min_count: int = 2) -> DataFrame:
     """id_col, n_tokens, n_known, train_tokens, base_score, score; learned
@@ -313,7 +317,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc
     shared = spark.sparkContext.broadcast(build_filter(ranges, range_bits, shape=shape)) if small else None
 
     chunks = max(1, -(-size // chunk_bytes))
-    rows = docs.select(F.pmod(F.xxhash64(id_col), F.lit(chunks)).cast("int").alias("chunk"), F.col(id_col).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(chunk_of(id_col, text, chunks).alias("chunk"), F.col(id_col).alias("id"), F.col(text).alias("text"))
 
     def vocabulary(t: pa.Table) -> pa.Table:
         distinct, codes, _ = lower_words(t.column("text").combine_chunks())
