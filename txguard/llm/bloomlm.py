@@ -45,7 +45,7 @@ from txguard.llm.common import map_arrow, row_sums, slices, stored, words
 
 CHUNK_BYTES = 24 << 20
 SCORE_BYTES = 16 << 20  # of text per chunk: held by one task with its bigrams
-BATCH_BYTES = 64 << 20   # counting gains from large slices: words repeat
+BATCH_BYTES = 24 << 20   # as large as a slice: counting gains from large ones, words repeat
 RANGE_BYTES = 8 << 20   # of text per range
 BASE = 1.5              # of the levels
 PROBES = 3
