@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import bloomlm, decontaminate, language, mixing, quality, rules, simhash, tokenfiles, toxicity, urls
+from txguard.llm import (
+    bloomlm, decontaminate, divergence, language, mixing, quality, rules, simhash, tokenfiles, toxicity, urls, vectorcodes,
+    warc,
+)
 from txguard.llm.common import fold, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +182,76 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = rules.ledger(table(spark, sf_dir, "documents"))
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       (~rules.passes("base")).alias("base_failed"), rules.passes().alias("kept"), "failed")
+
+
+def _code_rounds() -> str:
+    """Statement of the vector codes: the six rounds one after another."""
+    parts, width = range(1, 9), "(len(v) // 8)"
+    cut = " UNION ALL ".join(f"SELECT id, {p} AS part, v[({p} - 1) * {width} + 1:{p} * {width}] AS x FROM v" for p in parts)
+    near = """n{r} AS MATERIALIZED (SELECT k, x, part, min((d, entry)) AS best FROM (
+      SELECT k, x, c.part, c.entry, list_sum(list_transform(list_zip(x, c.y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+      FROM s JOIN b{r} c USING (part)) GROUP BY k, x, part)"""
+    means = """b{n} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.y, b.y) AS y FROM b{r} b LEFT JOIN (
+      SELECT part, entry, list((total - ((total % n) + n) % n) // n ORDER BY i) AS y FROM (
+        SELECT part, best[2] AS entry, i, sum(x[i])::BIGINT AS total, count(*) AS n
+        FROM n{r}, (SELECT unnest(range(1, (SELECT any_value(len(x)) FROM s) + 1)) AS i) GROUP BY ALL) GROUP BY part, entry) m USING (part, entry))"""
+    steps = ",\n".join(near.format(r=r) + ("" if r == 6 else ",\n" + means.format(r=r, n=r + 1)) for r in range(7))
+    return f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, label,
+                  list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT id AS k, part, x FROM ({cut})),
+b0 AS MATERIALIZED (SELECT part, k - 1 AS entry, x AS y FROM s WHERE k <= 16),
+{steps},
+h AS (SELECT sha256(string_agg(t, ',' ORDER BY part, entry)) AS codebooks_sha256 FROM (SELECT part, entry, array_to_string(y, ',') AS t FROM b6)),
+c AS (SELECT k, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error FROM n6 GROUP BY k)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM v JOIN c ON v.id = c.k, h
+"""
+
+
+@register("op11_vector_codes", _code_rounds())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _base32_of_hex(digest: str) -> str:
+    """DuckDB has no base32: five bits of the digest at a time."""
+    bits = f"list_reduce(list_transform(string_split({digest}, ''), lambda x: printf('%04s', bin(('0x' || x)::INT))), lambda a, b: a || b)"
+    return (f"(SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_reduce(list_transform(string_split(substr(bits, 5 * i + 1, 5), ''), "
+            f"lambda x: x::INT), lambda a, b: 2 * a + b), 1), '' ORDER BY i) FROM (SELECT replace({bits}, ' ', '0') AS bits), range(32) t(i))")
+
+
+@register("op12_warc_archives", f"""
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT *, sha1(payload) AS sha, octet_length(payload)::BIGINT AS payload_bytes, row_number() OVER w AS k, first(page_id) OVER w AS first_id
+      FROM p WINDOW w AS (PARTITION BY sha1(payload) ORDER BY page_id, url)),
+b AS (SELECT sha, {_base32_of_hex("sha")} AS payload_digest FROM (SELECT DISTINCT sha FROM d))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k > 1 THEN first_id END AS refers_to FROM d JOIN b USING (sha)
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(spark, warc.write(table(spark, sf_dir, "pages")))
+
+
+@register("op13_source_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT k, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(c.n), 0)::BIGINT AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+s AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // (g.n + langs.v) AS p,
+             1 + 1000000000 * (kept.n + 1) // (langs.n + langs.v) AS q
+      FROM g JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+          FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM s WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM (FROM every UNION ALL FROM terms))
+WHERE part = 'pair' OR rank <= 200
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
