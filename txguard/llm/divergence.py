@@ -45,7 +45,7 @@ TOP = 200
 POSTINGS = 100_000
 CELLS = 4_000_000
 STEP = 1 << 20
-BATCH_BYTES = 24 << 20   # counting gains from large batches, words repeat
+BATCH_BYTES = 12 << 20   # words repeat in it, but its sorted tokens are held several times
 OUT_ROWS = 100_000
 # A-Z become a-z, a-z and bytes of other scripts stay, all else separates.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
