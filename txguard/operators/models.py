@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txguard.operators.features import prepare_features_and_target
-from txguard.operators.metrics import Evaluation, best_candidate, build_thresholds, class_counts
+from txguard.operators.metrics import Evaluation, build_thresholds, class_counts
 from txguard.operators.preprocess import FEATURES_VECTOR, build_preprocessor
 from txguard.schemas import DEFAULT_ALERT_THRESHOLD
 
@@ -142,27 +144,40 @@ def training_frame(df: DataFrame) -> DataFrame:
     return prepare_features_and_target(df, keep=("trans_num",))
 
 
-def train_candidates(df: DataFrame, production_threshold: float = DEFAULT_ALERT_THRESHOLD,
-                     include_boosted: bool = True, only: list[str] | None = None):
-    """Split, weight, fit every candidate on one persisted training
-    frame, and pick the best by average precision (A15)."""
-    data = training_frame(df)
-    train, test = split_train_test(data)
-    train, _ratio = with_class_weights(train)
-    train = train.persist()
-    n = train.count()
-    pre = build_preprocessor(train)
-    results = []
-    for cand in build_candidates(float(n), include_boosted):
-        if only and cand.name not in only:
-            continue
-        results.append(fit_candidate(cand, train, test, production_threshold, pre))
-    summary = None
-    for r in results:
-        ap = r.metrics.where(F.col("metric") == "average_precision").select(
-            "model", F.lit(r.ordinal).alias("ordinal"), F.col("value").alias("average_precision"))
-        summary = ap if summary is None else summary.unionByName(ap)
-    # the few metric rows are kept, so that the training frame can be released
-    best = best_candidate(summary).checkpoint() if summary is not None else None
-    train.unpersist()
-    return results, best
+@dataclass
+class Fits:
+    """The fitted candidates, and the frames their fits and scores share."""
+
+    candidates: list[Candidate]
+    models: dict[str, PipelineModel]
+    held: list[DataFrame]
+
+    def release(self) -> None:
+        for df in self.held:
+            df.unpersist()
+
+
+def fit_candidates(df: DataFrame, include_boosted: bool = True, only: list[str] | None = None) -> tuple[Fits, DataFrame]:
+    """Every candidate fitted on one persisted training frame, side by
+    side, each in a scheduler pool of its own (a session with
+    ``spark.scheduler.mode=FAIR`` shares the cluster among them).  Also the rows
+    (model, trans_num, label, score) of the test part, scored by each."""
+    train, test = split_train_test(training_frame(df))
+    train = with_class_weights(train)[0].persist()
+    test = test.persist()
+    spark, pre = df.sparkSession, build_preprocessor(train)
+    candidates = [c for c in build_candidates(float(train.count()), include_boosted) if not only or c.name in only]
+
+    def fit(candidate: Candidate) -> PipelineModel:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", candidate.name)
+        return Pipeline(stages=[*pre.getStages(), candidate.classifier]).fit(train)
+
+    with ThreadPoolExecutor(max_workers=len(candidates)) as pool:
+        models = dict(zip([c.name for c in candidates], pool.map(inheritable_thread_target(spark)(fit), candidates), strict=True))
+    scored = None
+    for c in candidates:
+        rows = models[c.name].transform(test).select(
+            F.lit(c.name).alias("model"), F.col("trans_num").cast("string").alias("trans_num"),
+            F.col("is_fraud").cast("int").alias("label"), class1_probability().alias("score"))
+        scored = rows if scored is None else scored.unionByName(rows)
+    return Fits(candidates, models, [train, test]), scored

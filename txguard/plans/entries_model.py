@@ -15,12 +15,13 @@ from txguard.operators.metrics import (
 )
 from txguard.operators.preprocess import category_dictionary, category_modes, fit_numeric
 from txguard.operators.promotion import cd_decisions, decide
-from txguard.operators.registry import champion_challenger_pairs, current_aliases
+from txguard.operators.registry import ModelRegistry, champion_challenger_pairs, current_aliases
 from txguard.operators.scoring import predict_fraud
 from txguard.plans.catalog import V, dbl, r6, register, scored_cte
 from txguard.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from txguard.session import fresh_shared_path
 from txguard.sources import sinks
+from txguard.sources.commits import Manifest
 
 MODEL_NAME = "fraud_detection_model"
 THRESHOLDS = build_thresholds(0.9)
@@ -279,21 +280,30 @@ def m6(spark, sf):
     return with_test_flag(V(spark, sf, "transactions").select("trans_num", "is_fraud"))
 
 
-# ------------------------------------------------------------------ candidate models (rows-only)
+# ------------------------------------------------------------------ candidate models (no SQL: fits)
 
 def _candidate_query(name):
     def fn(spark, sf):
-        from txguard.operators.models import train_candidates
-        results, _best = train_candidates(V(spark, sf, "transactions"), 0.9, include_boosted=True, only=[name])
-        # what is exact of a fit: its test rows and that each has a probability
-        return results[0].scored.select("trans_num", "label", F.col("score").between(0.0, 1.0).alias("is_probability"))
+        from txguard.operators.models import fit_candidates
+        _fits, scored = fit_candidates(V(spark, sf, "transactions"), include_boosted=True, only=[name])
+        return scored.select("trans_num", "label", F.col("score").alias("fraud_probability"))
     return fn
 
 
-_SCORED_SQL = f"SELECT trans_num, is_fraud AS label, true AS is_probability FROM ({_SPLIT_SQL}) s WHERE is_test"
-register("m7_logistic_regression", _SCORED_SQL)(_candidate_query("logistic_regression_balanced"))
-register("m8_random_forest", _SCORED_SQL)(_candidate_query("random_forest_balanced"))
-register("m9_boosted_trees", _SCORED_SQL)(_candidate_query("xgboost_weighted"))
+register("m7_logistic_regression")(_candidate_query("logistic_regression_balanced"))
+register("m8_random_forest")(_candidate_query("random_forest_balanced"))
+register("m9_boosted_trees")(_candidate_query("xgboost_weighted"))
+
+
+@register("m12_candidate_evaluation")
+def m12_fits(spark, sf):
+    """A whole training run: the metrics of every fitted candidate, as stored,
+    and which of them is registered (the two that fit fastest)."""
+    from txguard.plans.retraining import train_challenger
+    registry = ModelRegistry(spark, fresh_shared_path(spark, "registry"))
+    done = train_challenger(spark, V(spark, sf, "transactions"), registry, MODEL_NAME, "run-1", include_boosted=False)
+    return registry.table("candidate_metrics").select(
+        "candidate", "metric", "value", (F.col("candidate") == F.lit(done["candidate"])).alias("registered"))
 
 
 # ------------------------------------------------------------------ evaluation, registry, promotion
@@ -433,5 +443,35 @@ def m13(spark, sf):
     from txguard.plans.retraining import promotion_events
     metrics, events = registry_tables(spark, sf)
     decided = decide(champion_challenger_pairs(events, metrics))
-    after = events.unionByName(promotion_events(decided, seq_base=100))
+    after = events.unionByName(promotion_events(decided, Manifest(99)))
     return current_aliases(after)
+
+
+@register("g7_promotion_job", f"""WITH {_PAIR_SQL}
+SELECT model_name, CAST(champion_version AS VARCHAR) AS champion_version, CAST(challenger_version AS VARCHAR) AS challenger_version,
+ promoted, decision_reason, CAST(1 AS BIGINT) AS n_decisions,
+ CAST(CASE WHEN promoted THEN challenger_version ELSE champion_version END AS BIGINT) AS champion_now,
+ CAST(challenger_version AS BIGINT) AS challenger_now, CASE WHEN promoted THEN CAST(challenger_version AS BIGINT) END AS in_production FROM dec2""")
+def g7_job(spark, sf):
+    """The promotion job twice on one registry; decisions, aliases and exports
+    as its readers see them then."""
+    from txguard.plans.retraining import compare_and_promote
+    metrics, events = registry_tables(spark, sf)
+    registry = ModelRegistry(spark, fresh_shared_path(spark, "registry"))
+    log = registry.log
+    measured = registry.stage(metrics, "model_metrics")
+    versions = registry.staged("model_metrics", measured).select("model_name", "version").distinct().select(
+        "*", F.lit("seed").alias("run_id"), F.concat(F.lit("v"), "version").alias("candidate"),
+        F.lit(log.path(measured)).alias("model_uri"), F.current_timestamp().cast("timestamp_ntz").alias("registered_at"))
+    log.commit(log.latest(), "seed", {"model_metrics": [measured], "alias_events": [registry.stage(events.withColumn("seq", F.lit(0).cast("long")), "alias_events")],
+                                      "model_versions": [registry.stage(versions, "model_versions")]})
+    for _ in range(2):
+        compare_and_promote(spark, registry, "b1")
+    at = log.latest()
+    decisions = registry.table("decisions", at)
+    aliases = registry.aliases(at).groupBy("model_name").pivot("alias", ["champion", "challenger"]).agg(F.first("version"))
+    n = decisions.groupBy("model_name").agg(F.count(F.lit(1)).alias("n_decisions"))
+    live = registry.production(at).select("model_name", F.col("version").alias("in_production"))
+    return decisions.join(n, "model_name").join(aliases, "model_name").join(live, "model_name", "left").select(
+        "model_name", "champion_version", "challenger_version", "promoted", "decision_reason", "n_decisions",
+        F.col("champion").alias("champion_now"), F.col("challenger").alias("challenger_now"), "in_production")

@@ -158,6 +158,13 @@ MODEL_ALIAS_EVENTS_SCHEMA = _struct(
     ("model_name", _S), ("alias", _S), ("version", _L), ("at", _TS), ("seq", _L))
 MODEL_METRICS_SCHEMA = _struct(
     ("model_name", _S), ("version", _L), ("metric", _S), ("value", _D))
+REGISTRY_DECISIONS_SCHEMA = T.StructType(DECISIONS_SCHEMA.fields + [T.StructField("run_id", _S, True)])
+MODEL_EXPORTS_SCHEMA = _struct(
+    ("model_name", _S), ("version", _L), ("run_id", _S), ("uri", _S), ("at", _TS), ("seq", _L))
+CANDIDATE_METRICS_SCHEMA = _struct(
+    ("run_id", _S), ("candidate", _S), ("metric", _S), ("value", _D))
+CANDIDATE_SCORES_SCHEMA = _struct(
+    ("run_id", _S), ("model", _S), ("trans_num", _S), ("label", _I), ("score", _D))
 
 
 def missing_columns(columns: Iterable[str], required: Iterable[str]) -> list[str]:
