@@ -281,6 +281,30 @@ def t2(spark, sf):
     return spark.read.schema(d.schema).parquet(out).select("trans_num")
 
 
+_DIRTY_COLS = ["trans_num", "cc_num", "category", "amt", "lat", "gender", "city", "state", "zip", "city_pop", "job", "dob", "is_fraud", "current_time_raw"]
+_DIRTY_LIST = ", ".join(_DIRTY_COLS)
+
+
+@register("t2_late_rows_dedupe", f"""SELECT DISTINCT {_DIRTY_LIST} FROM transactions_dirty WHERE trans_num IS NOT NULL
+UNION ALL SELECT {_DIRTY_LIST} FROM transactions_dirty WHERE trans_num IS NULL""")
+def t2_late(spark, sf):
+    """Files in descending event time, a few per trigger, the first copies
+    repeated at the end, the stream stopped and restarted between: every key once, no
+    row lost, all columns."""
+    d = V(spark, sf, "transactions_dirty").select(*_DIRTY_COLS)
+    base = fresh_shared_path(spark, "late")
+    src, out = f"{base}/in", f"{base}/out"
+    start = lambda: st.run_to_completion(st.start_dedupe_stream(spark, src, out, f"{base}/_checkpoint", d.schema, max_files_per_trigger=3))
+    year = F.year(F.col("current_time_raw").try_cast("timestamp_ntz"))
+    half = F.coalesce(year % 2, F.lit(0)) == 0
+    d.where(half).repartitionByRange(4, F.col("current_time_raw").desc()).write.parquet(src)
+    start()
+    d.where(~half).repartitionByRange(3, F.col("current_time_raw").desc()).write.mode("append").parquet(src)
+    d.where("trans_num IS NOT NULL").repartition(1).write.mode("append").parquet(src)
+    start()
+    return spark.read.schema(d.schema).parquet(out).select(*_DIRTY_COLS)
+
+
 @register("t4_tumbling_fraud_rate", f"""WITH {scored_cte()}
 SELECT time_bucket(INTERVAL 2 HOUR, "current_time") AS window_start,
  time_bucket(INTERVAL 2 HOUR, "current_time") + INTERVAL 2 HOUR AS window_end,
