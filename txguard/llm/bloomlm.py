@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from txguard.llm.common import map_arrow, row_sums, slices, stored, words
 
 CHUNK_BYTES = 24 << 20
-SCORE_BYTES = 16 << 20  # of text per chunk: held by one task with its bigrams
+SCORE_BYTES = 12 << 20  # of text per chunk: held by one task with its bigrams
 PIECE_BYTES = 8 << 20   # of a chunk, tokenised at once
 BATCH_BYTES = 24 << 20   # as large as a slice: counting gains from large ones, words repeat
 RANGE_BYTES = 8 << 20   # of text per range
@@ -255,15 +255,20 @@ class Chunk:
     """The texts of a chunk in bounded pieces, its distinct words and bigrams
     in the order of their hashes."""
 
-    def __init__(self, text: pa.Array, bigrams: bool):
+    def __init__(self, text: pa.Array, bigrams: bool, texts: bool = True):
+        """``bigrams``: all of the chunk's in one order; ``texts``: each piece's
+        bigrams with their places."""
         self.pieces, pairs, hashes, words_ = [], [], [], []
         for part in slices(pa.RecordBatch.from_arrays([text], names=["text"]), "text", PIECE_BYTES):
             distinct, codes, offsets = lower_words(part.column("text"))
             own = word_hashes(distinct)
             seq, starts = sequences(codes, offsets, own)
-            two, at = np.unique(bigram(seq[:-1], seq[1:]), return_inverse=True)
-            self.pieces.append((distinct, codes, offsets, starts, two, at.astype(np.int32)))
-            pairs.append(two)
+            if texts:
+                two, at = np.unique(bigram(seq[:-1], seq[1:]), return_inverse=True)
+                self.pieces.append((distinct, codes, offsets, starts, two, at))
+                pairs.append(two)
+            elif bigrams:
+                pairs.append(np.unique(bigram(seq[:-1], seq[1:])))
             hashes.append(unigram(own))
             words_.append(distinct)
         self.pairs = (np.unique(np.concatenate(pairs)) if len(pairs) > 1 else pairs[0]) if bigrams else None
@@ -289,7 +294,7 @@ def asked_ranges(rows: DataFrame, range_bits: int, bigrams: bool) -> DataFrame:
     """(chunk, range, words, rest): what every chunk of ``rows`` (chunk, id,
     text) asks a range, in the order of the hashes."""
     def run(t: pa.Table) -> pa.Table:
-        chunk = Chunk(t.column("text").combine_chunks(), bigrams)
+        chunk = Chunk(t.column("text").combine_chunks(), bigrams, texts=False)
         place, _ = split_hash(chunk.hashes, range_bits)
         found = {r: [slice(i, j), slice(0)] for r, i, j in stretches(place)}
         rest = np.zeros(0, np.uint32)
