@@ -217,6 +217,16 @@ def test_links_join_dense_balls_and_chains(spark, small_shard):
     assert {v: roots.get(v, v) for v in signed} == {v: root(v) for v in signed}
 
 
+def test_rows_that_share_an_id_are_kept_by_their_components(spark):
+    a, b, c = PROSE, "an entirely different text about ships and harbours and the long way home", "numbers one two three four five six seven eight nine"
+    kept = lambda rows: sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert kept([(1, a), (5, a), (5, b), (6, c)]) == [(1, a), (5, b), (6, c)]
+    assert kept([(5, a), (5, a), (5, b), (5, b), (5, b)]) == sorted([(5, a), (5, b)])
+    clash = spark.createDataFrame([(1, a, 0, 0, 0), (2, a, 0, 0, 0), (None, b, 0, 0, 0), (None, b, 1, 0, 0)], "doc_id bigint, text string, __key int, Key int, __keep int")
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in simhash.keep_one(clash).collect()) == [(0, b), (1, a)]
+    assert decontaminate.remove(clash, spark.createDataFrame([(1, b)], "item_id int, text string")).count() == 2
+
+
 def test_bk_tree_finds_all_within_the_radius():
     rng = np.random.default_rng(5)
     values = np.unique(rng.integers(0, 1 << 12, 400).astype(np.uint64))
@@ -270,6 +280,46 @@ def test_longest_verbatim_match(spark):
     assert [m.asDict() for m in r["matches"]] == [{"item": "i", "length": 35, "start": 3}] and r["n_hit"] == 47
 
 
+def test_matches_equal_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(decontaminate, "PAIRS", 50)
+    for n in range(30):
+        words = lambda k, v: " ".join(f"w{x}" for x in rng.integers(0, v, k))
+        v = int(rng.integers(1, 4))
+        items = [(str(i % 4), words(int(rng.integers(1, 30)), v)) for i in range(6)]
+        texts = [words(int(rng.integers(0, 60)), v) for _ in range(3)]
+        bench = decontaminate.Benchmark([(i, t.encode().split()) for i, t in items], 5)
+        offsets, hit, (row, item, length, start) = decontaminate.scan(pa.array(texts), bench)
+        got = {(int(r), bench.items[i]): (int(m), int(a)) for r, i, m, a in zip(row, item, length, start, strict=True)}
+        want, hits = {}, set()
+        for r, t in enumerate(texts):
+            w = t.split()
+            for name, q in ((i, x.split()) for i, x in items):
+                size = min(5, len(q))
+                for a in range(len(w)):
+                    for b in range(len(q) - size + 1):
+                        k = 0
+                        while a + k < len(w) and b + k < len(q) and w[a + k] == q[b + k]:
+                            k += 1
+                        if k >= size:
+                            hits |= {offsets[r] + a + j for j in range(size)}
+                            want[r, name] = min(want.get((r, name), (0, 0)), (-k, a))
+        assert got == {k: (-m, a) for k, (m, a) in want.items()} and set(np.flatnonzero(hit).tolist()) == hits, n
+
+
+def test_one_word_over_and_over_takes_bounded_memory():
+    import tracemalloc
+    bench = decontaminate.Benchmark([("a", [b"so"] * 2000), ("a", [b"so"] * 2000), ("b", [b"so"])], 10)
+    assert len(bench.starts) == 2
+    text = pa.array([" ".join(["so"] * 20_000)])
+    tracemalloc.start()
+    _, hit, (row, item, length, start) = decontaminate.scan(text, bench)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hit.all() and list(zip(item.tolist(), length.tolist(), start.tolist(), strict=True)) == [(0, 2000, 0), (1, 1, 0)]
+    assert peak < 400e6
+
+
 # ---- 5, 6, 8 classifiers -------------------------------------------------
 
 def labelled(spark, n=400):

@@ -47,6 +47,17 @@ def map_arrow(df: DataFrame, task, schema, max_bytes: int = SLICE_BYTES) -> Data
     return df.mapInArrow(task, schema)
 
 
+def spare(columns: list[str], *names: str) -> list[str]:
+    """Names like ``names`` that clash with none of ``columns``."""
+    held, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name in held:
+            name += "_"
+        out.append(name)
+        held.add(name)
+    return out
+
+
 def fold(id_col: str | Column, modulus: int) -> Column:
     """``crc32(id as text) mod modulus``; NULL for a NULL id."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col

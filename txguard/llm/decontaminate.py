@@ -13,14 +13,16 @@ in the benchmark, and that are as long as the shortest window, can hold one;
 the other words stay out of the suffix array, which loses no match.
 
 The suffix array is ranked by prefix doubling up to the longest window; equal
-suffixes beyond that stay in place order, and matches longer than a window
-are measured by walking on from window to window: one more word matches where
-the next window of the item occurs one word further.
+suffixes beyond that stay in place order.  Equal windows are searched once, and
+items of equal words are one text with several names.  A longest match is
+walked word by word from each place where a match begins (the words before it
+differ); the pairs of such places are looked at ``PAIRS`` at a time and only
+the best of a document and item is kept, so a word that fills both costs time but no memory.
 
 The benchmark is a stated query set.  It is dealt into blocks of at most
-``block_words`` words (one item at least), and one block at a time is
-broadcast; its size is known before.  The hits of all blocks are merged per
-document.
+``block_words`` words (one item at least); one block at a time is collected,
+broadcast and released, and of several blocks each one's hits are stored before the next
+begins.  The hits of all blocks are merged per document.
 
 Rows.  A NULL or wordless text has no words, an item without words no window.
 Items that repeat an id count as one item; an item with a NULL id is the item
@@ -38,10 +40,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.llm.common import map_arrow, slices, stored
+from txguard.llm.common import map_arrow, slices, spare, stored
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
+PAIRS = 1 << 20
 # A-Z become a-z, digits, a-z and bytes of other scripts stay, all else separates.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -50,42 +53,66 @@ def item_words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(FOLD).split()
 
 
+def ranked(words: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
+    """Ranks of all places by their first k words, k the largest power of two
+    up to ``depth``; the end sorts before any word."""
+    rank, k = np.unique(words, return_inverse=True)[1] + 1, 1
+    while 2 * k <= depth:
+        rank, k = doubled(rank, k), 2 * k
+    return rank, k
+
+
+def doubled(rank: np.ndarray, k: int) -> np.ndarray:
+    after = np.zeros_like(rank)
+    after[:-k] = rank[k:]
+    return np.unique(rank * (int(rank.max()) + 1) + after, return_inverse=True)[1] + 1
+
+
 class Benchmark:
-    """Coded words of a block of items, and their distinct windows."""
+    """A block of items: their distinct texts as coded words, the distinct
+    windows of these and where they occur."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
         self.codes: dict[bytes, int] = {}
         self.items = sorted({i for i, w in items if w})
         place = {i: k for k, i in enumerate(self.items)}
-        coded, starts, lengths, owners = [], [], [], []
-        at = 0
+        names: dict[tuple, set[int]] = {}
         for item, w in items:
-            if not w:
-                continue
-            c = [self.codes.setdefault(x, len(self.codes)) for x in w]
-            size = min(window, len(c))
-            coded += [*c, -1]  # a separator that no document holds
-            starts += range(at, at + len(c) - size + 1)
-            lengths += [size] * (len(c) - size + 1)
-            owners += [place[item]] * (len(c) - size + 1)
-            at += len(c) + 1
-        self.words = np.array(coded, np.int64)
-        self.starts, self.lengths, self.owners = (np.array(x, np.int64) for x in (starts, lengths, owners))
-        self.shortest = int(self.lengths.min()) if len(starts) else 0
-        self.deepest = int(self.lengths.max()) if len(starts) else 0
+            if w:
+                names.setdefault(tuple(self.codes.setdefault(x, len(self.codes)) for x in w), set()).add(place[item])
+        self.name_at = np.concatenate([[0], np.cumsum([len(n) for n in names.values()])]).astype(np.int64)
+        self.names = np.array([i for n in names.values() for i in sorted(n)], np.int64)
+        sizes = np.array([len(t) for t in names], np.int64)
+        self.words = np.array([c for t in names for c in (*t, -1)], np.int64)  # a separator that no document holds
+        begin = np.cumsum(sizes + 1) - sizes - 1
+        length = np.minimum(window, sizes)
+        # every occurrence of a window: its place and text
+        many = sizes - length + 1
+        text = np.repeat(np.arange(len(sizes)), many)
+        at = begin[text] + np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+        number = np.zeros(len(at), np.int64)
+        starts, lengths = [], []
+        for n in np.unique(length).tolist():
+            own = np.flatnonzero(length[text] == n)
+            rank, k = ranked(self.words, n)  # two overlapping stretches of k words make n
+            key = rank[at[own]] * (int(rank.max()) + 1) + rank[at[own] + n - k]
+            _, first, which = np.unique(key, return_index=True, return_inverse=True)
+            number[own] = which + len(starts)
+            starts += at[own][first].tolist()
+            lengths += [n] * len(first)
+        self.starts, self.lengths = np.array(starts, np.int64), np.array(lengths, np.int64)
+        order = np.argsort(number, kind="stable")
+        self.occurs, self.occurs_in = at[order], text[order]
+        self.occurs_at = np.searchsorted(number[order], np.arange(len(starts) + 1))
+        self.shortest = int(self.lengths.min()) if starts else 0
+        self.deepest = int(self.lengths.max()) if starts else 0
 
 
 def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
     """Places of ``words`` in the order of their first ``depth`` words, by
-    prefix doubling; the end sorts before any word."""
-    rank, k = np.unique(words, return_inverse=True)[1] + 1, 1
-    while k < depth:
-        after = np.zeros_like(rank)
-        after[:-k] = rank[k:]
-        key = rank * (int(rank.max()) + 1) + after
-        rank = np.unique(key, return_inverse=True)[1] + 1
-        k *= 2
-    return np.argsort(rank, kind="stable")
+    prefix doubling."""
+    rank, k = ranked(words, depth)
+    return np.argsort(doubled(rank, k) if k < depth else rank, kind="stable")
 
 
 def search(words: np.ndarray, order: np.ndarray, bench: Benchmark):
@@ -156,23 +183,57 @@ def scan(text: pa.Array, bench: Benchmark):
     which = np.repeat(np.arange(len(counts)), counts)
     if not len(which):
         return offsets, hit, (none, none, none, none)
-    at = order[np.repeat(lo - (np.cumsum(counts) - counts), counts) + np.arange(len(which))]
-    at, length = place[at], bench.lengths[which]
+    pos = order[np.repeat(lo - (np.cumsum(counts) - counts), counts) + np.arange(len(which))]
+    at, length = place[pos], bench.lengths[which]
     step = np.zeros(total + 1, np.int64)
     np.add.at(step, at, 1)
     np.add.at(step, at + length, -1)
     hit = np.cumsum(step[:-1]) > 0
     row = np.searchsorted(offsets, at, side="right") - 1
-    # windows that follow each other at the same offset make one longer match
-    chain = np.lexsort((at, bench.starts[which] - at, bench.owners[which], row))
-    r, o, s, a = row[chain], bench.owners[which][chain], (bench.starts[which] - at)[chain], at[chain]
-    new = np.concatenate([[True], (r[1:] != r[:-1]) | (o[1:] != o[:-1]) | (s[1:] != s[:-1]) | (a[1:] != a[:-1] + 1)])
-    head = np.flatnonzero(new)
-    span = np.diff(np.append(head, len(a))) - 1 + length[chain][head]
-    best = np.lexsort((a[head], -span, o[head], r[head]))
-    r, o, span, a = r[head][best], o[head][best], span[best], a[head][best]
-    top = np.concatenate([[True], (r[1:] != r[:-1]) | (o[1:] != o[:-1])])
-    return offsets, hit, (r[top], o[top], span[top], a[top] - offsets[r[top]])
+    r, text_, span, a = longest(text_words, pos, which, row, bench)
+    # the texts' names; of an item with several texts the longest match
+    n = bench.name_at[text_ + 1] - bench.name_at[text_]
+    item = bench.names[np.repeat(bench.name_at[text_] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    r, item, span, a = best_of(np.repeat(r, n), item, np.repeat(span, n), np.repeat(place[a], n))
+    return offsets, hit, (r, item, span, a - offsets[r])
+
+
+def best_of(row, name, span, at):
+    """The longest, then first, of every (row, name)."""
+    order = np.lexsort((at, -span, name, row))
+    row, name, span, at = row[order], name[order], span[order], at[order]
+    top = np.append(True, (row[1:] != row[:-1]) | (name[1:] != name[:-1]))[:len(row)]
+    return row[top], name[top], span[top], at[top]
+
+
+def longest(words: np.ndarray, pos: np.ndarray, which: np.ndarray, row: np.ndarray, bench) -> tuple[np.ndarray, ...]:
+    """(row, text of the benchmark, length, place in ``words``) of the longest
+    match of every row and text that share a window."""
+    before = np.where(pos > 0, words[pos - 1], -1)
+    n = bench.occurs_at[which + 1] - bench.occurs_at[which]
+    ends = np.cumsum(n)
+    found, k = [], 0
+    while k < len(pos):
+        done = int(ends[k - 1]) if k else 0
+        upto = max(k + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
+        m = n[k:upto]
+        pair = np.repeat(np.arange(k, upto), m)
+        at = np.repeat(bench.occurs_at[which[k:upto]] - (np.cumsum(m) - m), m) + np.arange(len(pair))
+        k = upto
+        there = bench.occurs[at]
+        ahead = np.where(there > 0, bench.words[there - 1], -1)
+        begins = (before[pair] < 0) | (before[pair] != ahead)
+        pair, there, text = pair[begins], there[begins], bench.occurs_in[at[begins]]
+        span = bench.lengths[which[pair]].copy()
+        live = np.arange(len(pair))
+        while len(live):  # one more word
+            x, y = pos[pair[live]] + span[live], there[live] + span[live]
+            same = (x < len(words)) & (y < len(bench.words))
+            same[same] = (words[x[same]] == bench.words[y[same]]) & (words[x[same]] >= 0)
+            live = live[same]
+            span[live] += 1
+        found.append(best_of(row[pair], text, span, pos[pair]))
+    return best_of(*map(np.concatenate, zip(*found, strict=True)))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col: str = "doc_id",
@@ -191,7 +252,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_
     parts = None
     for b in range(blocks):
         block = [(r["item"], item_words(r["text"].encode())) for r in dealt.filter(F.col("block") == b).select("item", "text").collect()]
-        part = _block(docs, Benchmark(block, window), spark, text, id_col, kind)
+        shared = spark.sparkContext.broadcast(vars(Benchmark(block, window)))
+        part = _block(docs, shared, text, id_col, kind)
+        if blocks > 1:  # done with this block before the next one
+            part = stored(part, "decontaminate")
+            shared.destroy()
         parts = part if parts is None else parts.unionByName(part)
     if blocks > 1:
         parts = _merged(parts, id_col, blocks)
@@ -212,9 +277,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_
 MATCHES = "matches array<struct<item: string, length: bigint, start: bigint>>"
 
 
-def _block(docs: DataFrame, bench: Benchmark, spark, text: str, id_col: str, kind: str) -> DataFrame:
-    shared = spark.sparkContext.broadcast(vars(bench))
-
+def _block(docs: DataFrame, shared, text: str, id_col: str, kind: str) -> DataFrame:
     def run(batches):
         bench = SimpleNamespace(**shared.value)
         for batch in batches:
@@ -250,7 +313,7 @@ def _merged(parts: DataFrame, id_col: str, blocks: int) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the contaminated ones."""
-    key = F.xxhash64(id_col, text)
-    found = contamination(docs.select(key.alias("__key"), F.col(text)), benchmark, text, "__key", **options)
-    found = stored(found.filter("contaminated").select("__key").distinct())
-    return docs.join(found, key == F.col("__key"), "left_anti")
+    key, (name,) = F.xxhash64(id_col, text), spare(docs.columns, "key")
+    found = contamination(docs.select(key.alias(name), F.col(text)), benchmark, text, name, **options)
+    found = stored(found.filter("contaminated").select(name).distinct())
+    return docs.join(found, key == F.col(name), "left_anti")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from txguard.llm.common import map_arrow, pinned, slices
+from txguard.llm.common import map_arrow, pinned, slices, spare, stored
 
 BITS = 64
 BLOCKS = 6
@@ -259,23 +259,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
 
 def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` less near-duplicates: the smallest id of each component stays.
+    """``docs`` less near-duplicates: of each component the row with the
+    smallest id stays (NULL is the largest), of rows with one id that with the
+    smallest hash of id and text, of rows equal in both one.
 
-    Repeated rows of one id are one document (the smallest text hash stays).
-    Of a component without any id, the row with the smallest fingerprint stays.
+    Rows that share an id but no component are documents of their own.
     """
-    found = near_duplicates(docs, text, id_col, **options)
-    named = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__keep")).distinct()
-    kept = _first(docs.join(named, F.col(id_col) == F.col("__keep")))
-    # rows without an id, where no row of their component has one
-    nameless = found.filter(F.col("component_id").isNull()).groupBy("component_fp").agg(F.min("fp").alias("fp"))
-    unnamed = docs.filter(F.col(id_col).isNull()).withColumn("__keep", F.xxhash64(*docs.columns))
-    prints = fingerprints(unnamed, text, "__keep", options.get("shingle", 4)).join(nameless, "fp")
-    picked = prints.groupBy("fp").agg(F.min("__keep").alias("__keep")).select("__keep")
-    return kept.unionByName(_first(unnamed.join(picked, "__keep"))).select(*docs.columns)
-
-
-def _first(rows: DataFrame) -> DataFrame:
-    """One row of each ``__keep``, the smallest by the hash of all columns."""
-    order = W.partitionBy("__keep").orderBy(F.xxhash64(*[c for c in rows.columns if c != "__keep"]))
-    return rows.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__keep", "__rank")
+    key, row, rank, same_id = spare([*docs.columns, "fp", "component_fp", "component_id"], "key", "row", "rank", "same_id")
+    keyed = docs.withColumn(key, F.xxhash64(id_col, text))
+    rows = keyed.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key")).alias(row), F.col(text))
+    found = near_duplicates(rows, text, row, **options).where(F.col(row).eqNullSafe(F.col("component_id")))
+    first = stored(found.select(F.col(f"{row}.key").alias(key), F.col(f"{row}.id").alias(same_id)).distinct(), "simhash-first")
+    kept = keyed.join(first, key).where(F.col(id_col).eqNullSafe(F.col(same_id)))
+    order = W.partitionBy(key, id_col).orderBy(F.xxhash64(*docs.columns))  # rows equal in id and text
+    return kept.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*docs.columns)
