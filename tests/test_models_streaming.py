@@ -129,3 +129,37 @@ def test_predict_fraud_with_fitted_pipeline(spark):
     assert len(rows) == 1500
     assert all(0.0 <= r[0] <= 1.0 and r[1] == int(r[0] >= 0.9) and r[2] == "lr" for r in rows)
     assert new_alerts(scored, None).count() == sum(r[1] for r in rows)
+
+
+def test_outcomes_do_not_depend_on_the_order_of_arrival(spark, scratch):
+    import random
+    from pyspark.sql import types as T
+    from txguard.streaming import performance as perf
+    rng = random.Random(4)
+    predictions = [(f"t{i}", f"2025-01-{1 + i // 4:02d} 10:00:00", (i * 37 % 100) / 100, int(i * 37 % 100 >= 90)) for i in range(80)]
+    # three in four get a label, some after the three days that they have
+    labels = [(f"t{i}", f"2025-01-{1 + i // 4 + i % 5:02d} 11:00:00" if i % 5 else f"2025-01-{1 + i // 4:02d} 10:00:00", int(i % 7 == 0)) for i in range(80) if i % 4]
+    labels += [("unknown", "2025-01-02 00:00:00", 1), (None, "2025-01-02 00:00:00", 1)]
+    to_time = lambda df, c: df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    p_schema, y_schema = "trans_num string, predicted_time string, fraud_probability double, is_fraud_predicted int", "trans_num string, label_time string, is_fraud int"
+    schema = T.StructType(perf.PREDICTED_SCHEMA.fields + [T.StructField("is_fraud", T.IntegerType())])
+
+    def run(base, files):
+        rng.shuffle(predictions)
+        rng.shuffle(labels)
+        for k in range(files):
+            for rows, s, time, name in ((predictions, p_schema, "predicted_time", "p"), (labels, y_schema, "label_time", "y")):
+                to_time(spark.createDataFrame(rows[k::files], s), time).coalesce(1).write.mode("append").parquet(f"{base}/{name}")
+        go = lambda: st.run_to_completion(perf.start_outcomes_stream(spark, f"{base}/p", f"{base}/y", f"{base}/out", f"{base}/ck", "40 days", max_files_per_trigger=1))
+        go()
+        before = spark.read.schema(schema).parquet(f"{base}/out").where("is_fraud IS NULL").count()
+        to_time(spark.createDataFrame([("end", "2026-01-01 00:00:00", 0.0, 0)], p_schema), "predicted_time").write.mode("append").parquet(f"{base}/p")
+        to_time(spark.createDataFrame([("end2", "2026-01-01 00:00:00", 0)], y_schema), "label_time").write.mode("append").parquet(f"{base}/y")
+        go()                                           # restarted: the state comes from the checkpoint
+        out = spark.read.schema(schema).parquet(f"{base}/out").where("trans_num <> 'end'")
+        return before, sorted(map(tuple, out.collect()), key=repr)
+
+    (early, a), (_, b) = run(scratch + "/1", 1), run(scratch + "/3", 3)
+    batch = perf.outcomes(to_time(spark.createDataFrame(predictions, p_schema), "predicted_time"), to_time(spark.createDataFrame(labels, y_schema), "label_time"))
+    assert early == 0 and a == b == sorted(map(tuple, batch.collect()), key=repr) and len(a) == 80
+    assert sum(r[4] is None for r in a) == 20 + sum(1 for i in range(80) if i % 4 and i % 5 >= 3)

@@ -5,6 +5,7 @@ monitoring aggregates (D1–D10)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txguard.operators.alerts import new_alerts, outbox, status_events
 from txguard.operators.dedupe import insert_if_absent, new_keys_only, present_keys_only
@@ -392,6 +393,50 @@ def d4(spark, sf):
     return p.select("period", "tp", "fp", "fn", r6("precision").alias("precision"), r6("recall").alias("recall"))
 
 
+_OUTCOME_SQL = """o AS (SELECT s.trans_num, t."current_time" AS seen, s.champion_score AS p, CASE WHEN s.champion_score >= 0.9 THEN 1 ELSE 0 END AS pred,
+  CASE WHEN CAST(s.trans_num AS BIGINT) % 5 <> 0 AND CAST(s.trans_num AS BIGINT) % 96 <= 72 THEN s.is_fraud END AS y
+  FROM scores s JOIN transactions t USING (trans_num)),
+ h AS (SELECT year(seen) AS period, p, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg FROM o WHERE y IS NOT NULL GROUP BY 1, 2),
+ c AS (SELECT *, sum(pos) OVER w AS cpos, sum(neg) OVER w AS cneg FROM h WINDOW w AS (PARTITION BY period ORDER BY p DESC)),
+ k AS (SELECT period, sum(neg * (cpos - pos / 2.0::DOUBLE)) / nullif(sum(pos) * sum(neg), 0) AS roc_auc,
+  sum(pos * cpos / (cpos + cneg)::DOUBLE) / nullif(sum(pos), 0) AS average_precision FROM c GROUP BY period)"""
+
+
+@register("d4_label_join_stream", f"""WITH {_OUTCOME_SQL},
+ n AS (SELECT year(seen) AS period, count(*) AS n_predictions, count(*) FILTER (WHERE y IS NULL) AS n_outstanding,
+  count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp,
+  count(*) FILTER (WHERE y = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE y = 0 AND pred = 0) AS tn FROM o GROUP BY 1)
+SELECT CAST(n.period AS INT) AS period, n_predictions, n_outstanding, tp, fp, fn, tn,
+ round(COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0), 6) AS precision, round(COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0.0), 6) AS recall,
+ round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_precision FROM n LEFT JOIN k USING (period)""")
+def d4_stream(spark, sf):
+    """Predictions and labels as two file streams, the labels up to four days
+    later or never, files out of order inside the delay."""
+    from txguard.streaming import performance as perf
+    key, late = F.col("trans_num").cast("bigint"), F.expr("make_dt_interval(0, CAST(CAST(trans_num AS BIGINT) % 96 AS INT), 0, 0)")
+    rows = V(spark, sf, "scores").join(tx(spark, sf).select("trans_num", "current_time"), "trans_num")
+    predictions = rows.select("trans_num", F.col("current_time").alias("predicted_time"), F.col("champion_score").alias("fraud_probability"),
+                              (F.col("champion_score") >= 0.9).cast("int").alias("is_fraud_predicted"))
+    labels = rows.where(key % 5 != 0).select("trans_num", (F.col("current_time") + late).alias("label_time"), "is_fraud")
+    base = fresh_shared_path(spark, "outcomes")
+    # two years a file; inside a pair of files any order
+    for df, time, name in ((predictions, "predicted_time", "p"), (labels, "label_time", "y")):
+        df.repartitionByRange(4, time).write.parquet(f"{base}/{name}")
+    # what closes the books: a row that is no transaction on either side, long after
+    # (not one with a NULL key: a join's filter on its key takes that before the watermark sees it)
+    end = spark.createDataFrame([("end",)], "trans_num string").withColumn("at", F.lit("2100-01-01").cast("timestamp_ntz"))
+    run = lambda: st.run_to_completion(perf.start_outcomes_stream(spark, f"{base}/p", f"{base}/y", f"{base}/out", f"{base}/_checkpoint", delay="3650 days"))
+    run()
+    end.select("trans_num", F.col("at").alias("predicted_time"), F.lit(None).cast("double").alias("fraud_probability"),
+               F.lit(None).cast("int").alias("is_fraud_predicted")).write.mode("append").parquet(f"{base}/p")
+    end.select("trans_num", F.col("at").alias("label_time"), F.lit(None).cast("int").alias("is_fraud")).write.mode("append").parquet(f"{base}/y")
+    run()
+    known = spark.read.schema(T.StructType(perf.PREDICTED_SCHEMA.fields + [T.StructField("is_fraud", T.IntegerType())])).parquet(f"{base}/out")
+    found = perf.performance_by_period(known.where("trans_num <> 'end'"), F.year("predicted_time"))
+    return found.select("period", "n_predictions", "n_outstanding", "tp", "fp", "fn", "tn",
+                        *[r6(c).alias(c) for c in ("precision", "recall", "roc_auc", "average_precision")])
+
+
 @register("d5_kpi_by_period", f"""WITH {scored_cte()}
 SELECT CAST(date_trunc('month', "current_time") AS TIMESTAMP) AS period, count(*) AS n_transactions,
  count(*) FILTER (WHERE is_fraud_predicted = 1) AS n_predicted_frauds,
