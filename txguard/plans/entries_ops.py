@@ -350,6 +350,51 @@ def d1(spark, sf):
     return psi(f, _D1_COLS, F.col("current_time") < _cutoff()).select("feature", r6("psi").alias("psi"))
 
 
+_DRIFT_NUM, _DRIFT_CAT = ["amt", "lat", "zip", "city_pop"], ["gender", "category", "state", "job", "merchant"]
+_DRIFT_SRC = """src AS (SELECT year(TRY_CAST(current_time_raw AS TIMESTAMP)) AS period, * FROM transactions_dirty WHERE TRY_CAST(current_time_raw AS TIMESTAMP) IS NOT NULL)"""
+_CUT_YEAR = 1998
+
+
+@register("d1_quantile_drift", f"""WITH {_DRIFT_SRC},
+ lng AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, period, CAST({c} AS DOUBLE) AS v FROM src" for c in _DRIFT_NUM)}),
+ e AS (SELECT feature, quantile_disc(v, [{", ".join(f"{i}/10.0::DOUBLE" for i in range(1, 10))}]) AS edges FROM lng WHERE period < {_CUT_YEAR} GROUP BY feature),
+ b AS (SELECT lng.feature, period, CASE WHEN v IS NULL THEN 10 ELSE len(list_filter(edges, lambda x: x < v)) END AS bin FROM lng JOIN e USING (feature)),
+ r AS (SELECT feature, bin, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS p FROM b WHERE period < {_CUT_YEAR} GROUP BY 1, 2),
+ c AS (SELECT feature, period, bin, count(*) / sum(count(*)) OVER (PARTITION BY feature, period) AS q FROM b WHERE period >= {_CUT_YEAR} GROUP BY 1, 2, 3),
+ g AS (SELECT feature, period, bin FROM (SELECT DISTINCT feature, period FROM c), range(11) t(bin)),
+ s AS (SELECT g.*, greatest(coalesce(p, 0), 1e-6::DOUBLE) AS p, greatest(coalesce(q, 0), 1e-6::DOUBLE) AS q FROM g LEFT JOIN r USING (feature, bin) LEFT JOIN c USING (feature, period, bin)),
+ n AS (SELECT feature, period, count(*) AS n_rows, count(*) - count(v) AS n_missing FROM lng GROUP BY 1, 2)
+SELECT feature, CAST(period AS INT) AS period, n_rows, n_missing, round(sum((q - p) * ln(q / p)), 6) AS psi FROM s JOIN n USING (feature, period) GROUP BY ALL""")
+def d1_quantile(spark, sf):
+    """Per year against the years before, from stored sketches; with a sketch
+    larger than the input of the check its quantiles are exact."""
+    from txguard.operators import drift
+    d = V(spark, sf, "transactions_dirty").where(F.col("current_time_raw").try_cast("timestamp_ntz").isNotNull())
+    path, k = fresh_shared_path(spark, "sketches"), 60_000
+    drift.numeric_sketches(d, _DRIFT_NUM, F.year(F.col("current_time_raw").try_cast("timestamp_ntz")), k).write.parquet(path)
+    found = drift.numeric_drift(spark.read.parquet(path), F.col("period") < _CUT_YEAR, k=k)
+    return found.select("feature", "period", "n_rows", "n_missing", r6("psi").alias("psi"))
+
+
+@register("d1_category_drift", f"""WITH {_DRIFT_SRC},
+ lng AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, period, coalesce('=' || {c}, 'missing') AS bin FROM src" for c in _DRIFT_CAT)}),
+ r AS (SELECT feature, bin, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS p FROM lng WHERE period < {_CUT_YEAR} GROUP BY 1, 2),
+ x AS (SELECT l.feature, l.period, CASE WHEN r.bin IS NULL AND l.bin <> 'missing' THEN 'unseen' ELSE l.bin END AS bin
+  FROM lng l LEFT JOIN r USING (feature, bin) WHERE l.period >= {_CUT_YEAR}),
+ c AS (SELECT feature, period, bin, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY feature, period) AS q FROM x GROUP BY 1, 2, 3),
+ g AS (SELECT feature, period, bin FROM c UNION SELECT feature, period, r.bin FROM (SELECT DISTINCT feature, period FROM c) JOIN r USING (feature)),
+ s AS (SELECT g.*, greatest(coalesce(p, 0), 1e-6::DOUBLE) AS p, greatest(coalesce(q, 0), 1e-6::DOUBLE) AS q, coalesce(c.n, 0) AS n
+  FROM g LEFT JOIN r USING (feature, bin) LEFT JOIN c USING (feature, period, bin))
+SELECT feature, CAST(period AS INT) AS period, CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (WHERE bin = 'missing'), 0) AS BIGINT) AS n_missing,
+ CAST(coalesce(sum(n) FILTER (WHERE bin = 'unseen'), 0) AS BIGINT) AS n_unseen, round(sum((q - p) * ln(q / p)), 6) AS psi FROM s GROUP BY ALL""")
+def d1_category(spark, sf):
+    from txguard.operators import drift
+    d = V(spark, sf, "transactions_dirty").where(F.col("current_time_raw").try_cast("timestamp_ntz").isNotNull())
+    counts = drift.category_counts(d, _DRIFT_CAT, F.year(F.col("current_time_raw").try_cast("timestamp_ntz")))
+    return drift.category_drift(counts, F.col("period") < _CUT_YEAR).select(
+        "feature", "period", "n_rows", "n_missing", "n_unseen", r6("psi").alias("psi"))
+
+
 @register("d2_prediction_drift_psi", _psi_sql(
     "src AS (SELECT s.champion_score, t.\"current_time\" FROM scores s JOIN transactions t USING (trans_num))",
     ["champion_score"], f"\"current_time\" < TIMESTAMP '{CUTOFF}'", fixed=(0.0, 1.0)))
