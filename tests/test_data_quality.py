@@ -87,3 +87,21 @@ def test_quarantine_partitions_rows(spark):
     good, bad = split_quarantine(d)
     assert good.count() + bad.count() == d.count()
     assert bad.where(F.size("dq_violations") == 0).count() == 0
+
+
+def test_failed_expectations_name_the_values_that_break_them(spark):
+    import pytest
+    from tests.conftest import incoming_df, incoming_row
+    from txguard.operators.quality import DataQualityError, unexpected_values, validate_incoming_transactions
+    rows = [incoming_row(trans_num=f"t{i}", lat=95.0 if i < 3 else 91.5 if i < 4 else 10.0, is_fraud=i % 2 if i > 5 else 7) for i in range(8)]
+    rows += [incoming_row(trans_num="t1"), incoming_row(trans_num=None), incoming_row(trans_num="x", merchant=None)]
+    df = incoming_df(spark, rows)
+    found = {}
+    for r in unexpected_values(df).collect():
+        found.setdefault(r["rule"], []).append((r["rank"], r["value"], r["n"]))
+    assert sorted(found["ExpectColumnValuesToBeBetween:lat"]) == [(1, "95.0", 3), (2, "91.5", 1)]
+    assert found["ExpectColumnValuesToBeUnique:trans_num"] == [(1, "t1", 2)] and found["ExpectColumnValuesToBeInSet:is_fraud"] == [(1, "7", 6)]
+    assert found["ExpectColumnValuesToNotBeNull:trans_num"] == [(1, None, 1)]
+    assert [r["value"] for r in unexpected_values(df, most=1).where("rule LIKE '%lat'").collect()] == ["95.0"]
+    with pytest.raises(DataQualityError, match=r"95.0 \(3\), 91.5 \(1\)"):
+        validate_incoming_transactions(df)

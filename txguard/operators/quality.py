@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -220,11 +220,41 @@ def split_quarantine(df: DataFrame, rules: list[Rule] | None = None, **options):
     return good, bad
 
 
-def raise_if_failed(results: DataFrame, context: str) -> None:
-    """Q21: collect the (few) result rows; raise listing every failure."""
+MAX_UNEXPECTED = 20
+
+
+def unexpected_values(df: DataFrame, time_column: str = "current_time", most: int = MAX_UNEXPECTED) -> DataFrame:
+    """Q20: ``(rule, rank, value, n)``: the ``most`` most frequent values (as
+    text, ties in their order) that break each expectation.
+
+    Only broken rows become rows here, one per rule; a value is counted before
+    the shuffle and a task sends ``most`` values of a rule at the most, so a rule that a third
+    of the batch breaks costs no more than another."""
+    rules = expectation_rules(df, time_column)
+    text = lambda c: F.col(c).cast("string")
+    broken = F.array_compact(F.array(*[
+        F.when(r.violated(df), F.struct(F.lit(r.name).alias("rule"), text(r.column).alias("value")))
+        for r in rules if r.violated is not None]))
+    counts = df.select(F.explode(broken).alias("b")).groupBy("b.rule", "b.value").agg(F.count(F.lit(1)).alias("n"))
+    for r in rules:
+        if r.violated is None:
+            key = text(r.column)
+            twice = df.where(key.isNotNull()).groupBy(key.alias("value")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            counts = counts.unionByName(twice.select(F.lit(r.name).alias("rule"), "value", "n"))
+    place = Window.partitionBy("rule").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
+    return counts.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= most).select("rule", "rank", "value", "n")
+
+
+def raise_if_failed(results: DataFrame, context: str, values: DataFrame | None = None) -> None:
+    """Q21: collect the (few) result rows; raise listing every failure, with
+    the values that broke it."""
     rows = results.where(~F.col("success")).orderBy("ordinal").collect()
     if rows:
-        lines = "\n".join(f"- {r['rule']}: {r['details']}" for r in rows)
+        seen: dict[str, list[str]] = {}
+        if values is not None:
+            for v in values.orderBy("rule", "rank").collect():     # MAX_UNEXPECTED per rule
+                seen.setdefault(v["rule"], []).append(f"{'NULL' if v['value'] is None else v['value']} ({v['n']})")
+        lines = "\n".join(f"- {r['rule']}: {r['details']}" + (f": {', '.join(seen[r['rule']])}" if r["rule"] in seen else "") for r in rows)
         raise DataQualityError(f"validation failed: {context}\n{lines}")
 
 
@@ -265,4 +295,4 @@ def validate_incoming_transactions(df: DataFrame, time_column: str = "current_ti
     """Expectation suite: empty batch fails; all failures are listed (Q6–Q21)."""
     if df.isEmpty():
         raise DataQualityError("incoming transaction batch is empty")
-    raise_if_failed(expectation_results(df, time_column), "incoming_transactions")
+    raise_if_failed(expectation_results(df, time_column), "incoming_transactions", unexpected_values(df, time_column))

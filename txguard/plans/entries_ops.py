@@ -205,6 +205,34 @@ def t3(spark, sf):
     return outbox(alerts, sent).select("trans_num", "notification_status", "notification_channel")
 
 
+@register("t3_outbox_delivery", f"""WITH {_ALERTS_CTE},
+ p AS (SELECT trans_num, CAST('0x' || substr(md5(trans_num), 1, 8) AS BIGINT) %
+  greatest(1, (SELECT CAST(ceil(count(*) / 100.0) AS BIGINT) FROM al)) AS portion FROM al)
+SELECT trans_num, 'sent' AS notification_status, CAST(CASE WHEN portion = 1 THEN 2 ELSE 1 END AS BIGINT) AS sends FROM p""")
+def t3_delivery(spark, sf):
+    """The notifier twice; in the first run its second portion fails after it
+    was handed over.  Only that portion is handed over again."""
+    from txguard.operators.alerts import current_alert_status
+    from txguard.plans.inference import NotificationError, TablePaths, notify, portion_of
+    base = fresh_shared_path(spark, "outbox")
+    paths = TablePaths(*[f"{base}/{n}" for n in ("predictions", "alerts", "labeled", "quarantine", "integration_events", "alert_status_events")])
+    portions = max(1, -(-sinks.store_alerts(spark, scored(spark, sf), paths.alerts, "b1").count() // 100))
+
+    def send(rows, fails):
+        rows.select("trans_num").write.mode("append").parquet(f"{base}/handed")
+        if fails and rows.where(portion_of("trans_num", portions) != 1).isEmpty():
+            raise OSError("channel is down")
+
+    for fails in (True, False):
+        try:
+            notify(spark, paths, "discord", lambda rows, fails=fails: send(rows, fails), 100)
+        except NotificationError:
+            pass
+    handed = spark.read.parquet(f"{base}/handed").groupBy("trans_num").agg(F.count(F.lit(1)).alias("sends"))
+    now = current_alert_status(sinks.read_table(spark, paths.alerts), sinks.read_table(spark, paths.alert_status_events))
+    return now.join(handed, "trans_num").select("trans_num", "notification_status", "sends")
+
+
 @register("o3_latest_alerts", f"""WITH {_ALERTS_CTE}
 SELECT trans_num, round(fraud_probability, 6) AS fraud_probability, fraud_alert_threshold,
  'discord' AS notification_channel, 'created' AS notification_status, "current_time" AS transaction_time,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txguard.operators.quality import (
+    expectation_names, unexpected_values,
     COLUMNS_RULE, business_report, business_rules, expectation_report, expectation_results, expectation_rules, quarantine,
 )
 from txguard.plans.catalog import V, register
@@ -138,3 +139,17 @@ def q20_rows(spark, sf):
     d = dirty(spark, sf)
     q = quarantine(d, expectation_rules(d, TIME))
     return q.select("trans_num", "copy_no", F.array_join("dq_violations", ",").alias("violations"))
+
+
+_UNEXPECTED_SQL = " UNION ALL ".join(
+    f"SELECT '{rule}' AS rule, CAST({column} AS VARCHAR) AS value FROM transactions_dirty WHERE {cond}" if cond is not None else
+    f"SELECT '{rule}' AS rule, trans_num AS value FROM (SELECT *, count(*) OVER (PARTITION BY trans_num) AS copies FROM transactions_dirty) WHERE trans_num IS NOT NULL AND copies > 1"
+    for (rule, cond), column in zip(_ROW_FLAGS, [f'"{c}"' for _, c in expectation_names(TIME)], strict=True))
+
+
+@register("q20_unexpected_values", f"""SELECT rule, CAST(rank AS INT) AS rank, value, n FROM (
+ SELECT rule, value, count(*) AS n, row_number() OVER (PARTITION BY rule ORDER BY count(*) DESC, value NULLS FIRST) AS rank
+ FROM ({_UNEXPECTED_SQL}) u GROUP BY rule, value) r WHERE rank <= 20""")
+def q20_values(spark, sf):
+    """The values behind each broken expectation, as the report names them."""
+    return unexpected_values(dirty(spark, sf), TIME)
