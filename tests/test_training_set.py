@@ -99,3 +99,25 @@ def test_thresholds_union(spark):
     df = spark.createDataFrame([(0.85,), (0.9,)], "fraud_alert_threshold double")
     assert thresholds_union(df).first()[0] == [0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.95]
     assert spark.range(1).select(thresholds_column(0.75)).first()[0] == [0.5, 0.6, 0.7, 0.75, 0.8, 0.9, 0.95]
+
+
+def test_category_encoder_by_broadcast_and_by_shuffle(spark):
+    from pyspark.sql import functions as F
+    from txguard.operators.preprocess import fit_categories
+    columns = ["gender", "city"]
+    fit = [("F", "Paris"), ("F", "Rome"), ("M", "Rome"), ("F", None), (None, "Oslo")]
+    ask = [("M", "Rome"), ("X", "Bonn"), (None, None), ("F", "Oslo")] + [("F", "Paris")] * 50
+    encoder = fit_categories(spark.createDataFrame(fit, "gender string, city string"), columns)
+    assert encoder.sizes == {"gender": 2, "city": 3} and encoder.modes == {"gender": "F", "city": "Rome"}
+    want = [[1, 4], [], [0, 4], [0, 2]] + [[0, 3]] * 50        # F, M; Oslo, Paris, Rome
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(ask)], "i int, gender string, city string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            got = [sorted(r["one_hot"]) for r in encoder.one_hot(df).orderBy("i").collect()]
+            assert got == want and encoder.one_hot(df).columns == [*df.columns, "one_hot"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    empty = fit_categories(df.where(F.lit(False)).select("gender", "city"), columns)
+    assert empty.sizes == {"gender": 0, "city": 0} and all(r["one_hot"] == [] for r in empty.one_hot(df).collect())

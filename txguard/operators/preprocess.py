@@ -10,6 +10,7 @@ deviation); their small results (one row per feature) are baked into a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from txguard.operators.ranking import exact_medians, pinned_ranges, running_sums
 from txguard.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from txguard.session import fresh_shared_path
 
 FEATURES_VECTOR = "features"
 
@@ -66,6 +68,54 @@ def category_dictionary(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEAT
     return cum.select("feature", "value", (F.col("cone") - 1).alias("index"))
 
 
+@dataclass(frozen=True)
+class CategoryEncoder:
+    """M4 with the categories as a table: imputation by the modes, then the
+    index of a value by a join with the dictionary.
+
+    Neither the driver nor a task holds a column's categories: a dictionary stored as
+    Parquet is broadcast while its known size is small, else joined by value,
+    where a value of many rows is split by AQE's skew join.  Modes, and the
+    number of categories of a column, are a row per column."""
+
+    columns: tuple[str, ...]
+    modes: dict[str, str | None]
+    sizes: dict[str, int]
+    path: str                       # (feature, value, index)
+
+    def dictionary(self, spark) -> DataFrame:
+        return spark.read.schema("feature string, value string, index bigint").parquet(self.path)
+
+    def indices(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``<column>__idx``; NULL for a value that the fit has not seen."""
+        known = self.dictionary(df.sparkSession)
+        for c in self.columns:
+            own = known.where(F.col("feature") == c).select(F.col("value").alias(f"{c}__cat"), F.col("index").alias(f"{c}__idx"))
+            df = df.withColumn(f"{c}__cat", F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))).join(own, f"{c}__cat", "left").drop(f"{c}__cat")
+        return df
+
+    def one_hot(self, df: DataFrame, name: str = "one_hot") -> DataFrame:
+        """``df`` with the places of the ones in its indicator vector (of
+        ``sum(sizes)`` places, a column's one after another): none for an unseen value."""
+        places, before = [], 0
+        for c in self.columns:
+            places.append(F.col(f"{c}__idx") + F.lit(before))
+            before += self.sizes[c]
+        out = self.indices(df)
+        return out.select(*df.columns, F.array_compact(F.array(*places)).alias(name))
+
+
+def fit_categories(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> CategoryEncoder:
+    """The modes, and the dictionary of the imputed values, stored in
+    the shared folder."""
+    modes = {r["feature"]: r["mode"] for r in category_modes(df, columns).collect()}
+    path = fresh_shared_path(df.sparkSession, "categories")
+    category_dictionary(df, columns).write.parquet(path)
+    encoder = CategoryEncoder(tuple(columns), {c: modes.get(c) for c in columns}, {}, path)
+    found = {r["feature"]: r["n"] for r in encoder.dictionary(df.sparkSession).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return replace(encoder, sizes={c: found.get(c, 0) for c in columns})
+
+
 def _collect_small(fit: DataFrame, key: str = "feature") -> dict:
     """Fit tables have one row per feature (≤ 19): safe to bring to the driver."""
     return {r[key]: r.asDict() for r in fit.collect()}

@@ -270,6 +270,56 @@ def m4(spark, sf):
     return model.transform(t).select("trans_num", *[f"{c}_idx" for c in CATEGORICAL_FEATURES])
 
 
+# the same fits over rows with missing values, NaN and ties
+_GAPS = ["amt", "lat", "long", "zip", "city_pop", "thousands", "nothing"]
+_GAPS_SQL = """gaps AS (SELECT CASE WHEN CAST(trans_num AS BIGINT) % 179 = 0 THEN 'nan'::DOUBLE ELSE amt END AS amt, lat, "long", zip, city_pop,
+  floor(amt / 1000) AS thousands, NULL::DOUBLE AS nothing FROM transactions_dirty),
+ lng AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, CASE WHEN isnan(CAST(\"{c}\" AS DOUBLE)) THEN NULL ELSE CAST(\"{c}\" AS DOUBLE) END AS value FROM gaps" for c in _GAPS) + """),
+ med AS (SELECT feature, median(value) AS median FROM lng GROUP BY feature),
+ imp AS (SELECT lng.feature, coalesce(value, median) AS value, median FROM lng JOIN med USING (feature))"""
+
+
+@register("m3_missing_values", f"""WITH {_GAPS_SQL}
+SELECT feature, round(any_value(median), 6) AS median, round(avg(value), 6) AS mean,
+ round(CASE WHEN stddev_pop(value) > 0 THEN stddev_pop(value) ELSE 1.0 END, 6) AS scale FROM imp GROUP BY feature""")
+def m3_gaps(spark, sf):
+    d = V(spark, sf, "transactions_dirty")
+    d = d.select(F.when(F.col("trans_num").cast("bigint") % 179 == 0, F.lit(float("nan"))).otherwise(F.col("amt")).alias("amt"),
+                 "lat", "long", "zip", "city_pop", F.floor(F.col("amt") / 1000).alias("thousands"), F.lit(None).cast("double").alias("nothing"))
+    return fit_numeric(d, _GAPS).select("feature", *[r6(c).alias(c) for c in ("median", "mean", "scale")])
+
+
+_DIRTY_CATS = list(CATEGORICAL_FEATURES)
+_DIRTY_FIT = "merchant NOT LIKE '%7' AND (job IS NULL OR job <> 'MACHINERY')"
+_DIRTY_CAT_CTE = f"""fitted AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM transactions_dirty WHERE {_DIRTY_FIT}" for c in _DIRTY_CATS)}),
+ modes AS (SELECT feature, arg_max(value, (n, -r)) AS mode FROM (SELECT feature, value, count(*) AS n, row_number() OVER (PARTITION BY feature ORDER BY value) AS r
+  FROM fitted WHERE value IS NOT NULL GROUP BY feature, value) GROUP BY feature),
+ dict AS (SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) - 1 AS idx
+  FROM (SELECT DISTINCT feature, value FROM fitted WHERE value IS NOT NULL))"""
+
+
+@register("a17_mode_missing_values", f"WITH {_DIRTY_CAT_CTE} SELECT feature, mode FROM modes")
+def a17_gaps(spark, sf):
+    return category_modes(V(spark, sf, "transactions_dirty").where(_DIRTY_FIT), _DIRTY_CATS)
+
+
+_OFFSET = lambda c: " + ".join(["0", *[f"(SELECT count(*) FROM dict WHERE feature = '{p}')" for p in _DIRTY_CATS[:_DIRTY_CATS.index(c)]]])
+
+
+@register("m4_one_hot", f"""WITH {_DIRTY_CAT_CTE},
+ places AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, value, idx + {_OFFSET(c)} AS place FROM dict WHERE feature = '{c}'" for c in _DIRTY_CATS)}),
+ r AS (SELECT trans_num, copy_no, row_number() OVER () AS k, * EXCLUDE (trans_num, copy_no) FROM transactions_dirty),
+ v AS ({" UNION ALL ".join(f"SELECT k, trans_num, copy_no, '{c}' AS feature, coalesce(CAST({c} AS VARCHAR), (SELECT mode FROM modes WHERE feature = '{c}')) AS value FROM r" for c in _DIRTY_CATS)})
+SELECT trans_num, copy_no, coalesce(string_agg(place, ',' ORDER BY place), '') AS one_hot FROM v LEFT JOIN places USING (feature, value) GROUP BY k, trans_num, copy_no""")
+def m4_one_hot(spark, sf):
+    """Places of the ones of every row, missing values imputed, categories the
+    fit has not seen (one job, every tenth merchant) without one."""
+    from txguard.operators.preprocess import fit_categories
+    d = V(spark, sf, "transactions_dirty")
+    encoded = fit_categories(d.where(_DIRTY_FIT), _DIRTY_CATS).one_hot(d.select("trans_num", "copy_no", *_DIRTY_CATS))
+    return encoded.select("trans_num", "copy_no", F.array_join(F.transform(F.array_sort("one_hot"), lambda x: x.cast("string")), ",").alias("one_hot"))
+
+
 _SPLIT_SQL = """SELECT trans_num, is_fraud, row_number() OVER (PARTITION BY is_fraud ORDER BY md5(trans_num))
  <= round(0.2 * count(*) OVER (PARTITION BY is_fraud)) AS is_test FROM transactions"""
 
