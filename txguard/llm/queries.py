@@ -32,6 +32,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_documents(spark, tokenfiles.write(table(spark, sf_dir, "documents")))
 
 
+def _url_levels() -> str:
+    """The tree of op2's statement, level by level."""
+    return ",\n".join(
+        f"""c{d} AS (SELECT host, template, segs[{d + 1}] AS seg, sum(n) AS support, count(*) OVER (PARTITION BY host, template) AS n_children,
+ sum(sum(n)) OVER (PARTITION BY host, template) AS pages FROM l{d} WHERE len(segs) > {d} GROUP BY host, template, segs[{d + 1}]),
+l{d + 1} AS (SELECT l.* REPLACE (CASE WHEN len(segs) > {d} THEN l.template || '{"/" if d else ""}' || CASE WHEN n_children > 16 AND (support < 8
+ OR n_children * n_children > pages AND support * 16 < pages) THEN '<*>' ELSE seg END
+ ELSE l.template END AS template) FROM l{d} l LEFT JOIN c{d} c ON l.host = c.host AND l.template = c.template AND l.segs[{d + 1}] = c.seg)"""
+        for d in range(urls.LEVELS))
+
+
 @register("op2_url_templates", r"""
 WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 v AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
@@ -43,26 +54,21 @@ d AS (SELECT DISTINCT host, path FROM w),
 f AS (SELECT d.host, d.path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS rule_verdict
       FROM d JOIN k ON (d.host = h OR ends_with(d.host, '.' || h)) AND starts_with(d.path, p) GROUP BY ALL),
 r AS (SELECT w.*, rule, rule_verdict FROM w LEFT JOIN f USING (host, path)),
-leaf AS (SELECT host, shape, count(*) AS n, count(rule_verdict) AS labelled, count(*) FILTER (rule_verdict = 'block') AS blocked,
-                string_split(shape, '/') AS segs FROM r GROUP BY host, shape),
-node AS (SELECT host, shape, n, depth, array_to_string(segs[1:depth - 1], '/') || depth AS parent, segs[depth] AS seg
-         FROM (SELECT *, unnest(range(1, len(segs) + 1)) AS depth FROM leaf)),
-child AS (SELECT host, parent, seg, sum(n) AS support, count(*) OVER (PARTITION BY host, parent) AS n_children FROM node GROUP BY host, parent, seg),
-gen AS (SELECT host, shape, list(CASE WHEN support < 8 AND n_children > 16 THEN '<*>' ELSE seg END ORDER BY depth) AS g
-        FROM node JOIN child USING (host, parent, seg) GROUP BY host, shape),
-t AS (SELECT leaf.host, leaf.shape, labelled, blocked, array_to_string(g, '/') AS template,
-             array_to_string(list_transform(g, lambda x: CASE WHEN contains(x, '<') OR x = '' THEN x ELSE '<w>' END), '/') AS skeleton
-      FROM leaf JOIN gen USING (host, shape)),
+l0 AS (SELECT host, shape, count(*) AS n, count(rule_verdict) AS labelled, count(*) FILTER (rule_verdict = 'block') AS blocked,
+              string_split(shape, '/') AS segs, '' AS template FROM r GROUP BY host, shape),
+""" + _url_levels() + r""",
+t AS (SELECT host, shape, labelled, blocked, template || CASE WHEN len(segs) > LEVELS THEN '/<...>' ELSE '' END AS template FROM lLEVELS),
+s AS (SELECT *, array_to_string(list_transform(string_split(template, '/'), lambda x: CASE WHEN contains(x, '<') OR x = '' THEN x ELSE '<w>' END), '/') AS skeleton FROM t),
 b AS (SELECT host, skeleton, template, sum(labelled) AS labelled, sum(blocked) AS blocked,
              sum(sum(blocked)) OVER (PARTITION BY host, skeleton) / nullif(sum(sum(labelled)) OVER (PARTITION BY host, skeleton), 0)::DOUBLE AS p
-      FROM t GROUP BY host, skeleton, template),
-c AS (SELECT *, CASE WHEN labelled * p * (1 - p) > 0 THEN (blocked - labelled * p) / sqrt(labelled * p * (1 - p)) ELSE 0 END AS z FROM b),
-e AS (SELECT *, CASE WHEN labelled = 0 THEN 'none' WHEN z > 2 THEN 'over' WHEN z < -2 THEN 'under' ELSE 'like' END AS branch FROM c),
+      FROM s GROUP BY host, skeleton, template),
+z AS (SELECT *, CASE WHEN labelled * p * (1 - p) > 0 THEN (blocked - labelled * p) / sqrt(labelled * p * (1 - p)) ELSE 0 END AS z FROM b),
+e AS (SELECT *, CASE WHEN z > 2 THEN 'over' WHEN z < -2 THEN 'under' ELSE 'like' END AS branch FROM z),
 m AS (SELECT host, template, (sum(blocked) OVER q + 1) / (sum(labelled) OVER q + 3)::DOUBLE AS purity FROM e
       WINDOW q AS (PARTITION BY host, skeleton, branch))
 SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN purity > 0.5 THEN 'block' ELSE 'allow' END) AS verdict, template, purity
 FROM r JOIN t USING (host, shape) JOIN m USING (host, template)
-""")
+""".replace("LEVELS", str(urls.LEVELS)))
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 

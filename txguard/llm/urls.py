@@ -4,18 +4,21 @@ A short list of rules judges what it covers; its verdicts are also the labels
 from which the rest is judged.  Per host, the paths form a tree:
 
 1. digit runs and long hexadecimal names become ``<n>`` and ``<h>``;
-2. below a node with many children, a child with little support is a variable
-   segment and becomes ``<*>``;
+2. level by level, below a node with more than ``max_children`` children, a child with less
+   support than ``min_support`` is a variable segment and becomes ``<*>``; where the children are more than the root
+   of the node's pages, so is one that holds less than 1 / ``max_children`` of them.  The children of all variable siblings are pooled before the next
+   level is looked at.  Segments beyond ``LEVELS`` become one ``<...>``;
 3. branches with the same skeleton (literal segments left out) are merged if
    their labelled block rates do not differ from the skeleton's pooled rate by
    more than ``max_z`` standard errors; those that do form an ``over`` and an
-   ``under`` branch, and branches without any label stay by themselves;
+   ``under`` branch.  A branch without labels differs in nothing that is known and joins the
+   similar ones, whose evidence so reaches pages that no rule covers;
 4. a merged template is rejected if its smoothed labelled purity,
    (blocked + 1) / (labelled + 3), exceeds one half.
 
 The urls are first summed to distinct (host, shape) rows, so the tree is built
 over templates, not over pages, and a host with a third of all pages is
-combined before any shuffle.
+combined before any shuffle.  A level is one aggregation of these rows and a join.
 
 Rows.  A NULL url or one without ``://`` has an empty host and path.  Repeated
 rows are judged each; ids may be NULL.  An empty table gives an empty result,
@@ -42,6 +45,7 @@ RULES: tuple[tuple[str, str, str], ...] = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+LEVELS = 16
 MAX_CHILDREN = 16
 MIN_SUPPORT = 8
 MAX_Z = 2.0
@@ -72,6 +76,26 @@ def shape(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, "/[0-9a-fA-F]{16,}", "/<h>"), "[0-9]+", "<n>")
 
 
+def generalised(leaves: DataFrame, max_children: int = MAX_CHILDREN, min_support: int = MIN_SUPPORT) -> DataFrame:
+    """``leaves`` (host, shape, n, ...) with their ``template``."""
+    segments = F.split("shape", "/")
+    deepest = leaves.agg(F.max(F.size(segments)).alias("d")).first()["d"] or 0
+    rows = leaves.withColumn("template", F.lit(""))
+    for d in range(min(deepest, LEVELS)):
+        inside, segment = F.size(segments) > d, F.get(segments, F.lit(d))
+        children = rows.where(inside).groupBy("host", "template", segment.alias("segment")).agg(F.sum("n").alias("support"))
+        crowded = children.groupBy("host", "template").agg(F.count("*").alias("n_children"), F.sum("support").alias("pages")).filter(F.col("n_children") > max_children)
+        names = (F.col("n_children") * F.col("n_children") > F.col("pages")) & (F.col("support") * max_children < F.col("pages"))
+        variable = children.join(crowded, ["host", "template"]).filter((F.col("support") < min_support) | names).select(
+            "host", "template", "segment", F.lit(True).alias("variable"))
+        joined = rows.withColumn("segment", F.when(inside, segment)).join(variable, ["host", "template", "segment"], "left")
+        own = F.when(F.col("variable"), F.lit("<*>")).otherwise(F.col("segment"))
+        grown = F.when(inside, F.concat(F.col("template"), F.lit("/" if d else ""), own)).otherwise(F.col("template"))
+        # the next level is keyed by what this one has generalised
+        rows = stored(joined.withColumn("template", grown).drop("segment", "variable"))
+    return rows.withColumn("template", F.when(F.size(segments) > LEVELS, F.concat("template", F.lit("/<...>"))).otherwise(F.col("template")))
+
+
 def templates(labelled: DataFrame, max_children: int = MAX_CHILDREN, min_support: int = MIN_SUPPORT,
               max_z: float = MAX_Z) -> DataFrame:
     """(host, shape, rule_verdict) rows -> host, shape, template, branch,
@@ -79,35 +103,14 @@ def templates(labelled: DataFrame, max_children: int = MAX_CHILDREN, min_support
     leaves = stored(labelled.groupBy("host", "shape").agg(
         F.count("*").alias("n"), F.count("rule_verdict").alias("labelled"),
         F.count(F.when(F.col("rule_verdict") == "block", 1)).alias("blocked")))
-    # one row per node of a leaf's path; the parent is known by a chained hash
-    chained = F.aggregate("segments", F.array(F.lit(0).cast("long")),
-                          lambda acc, s: F.concat(acc, F.array(F.xxhash64(F.element_at(acc, -1), s))))
-    nodes = (
-        leaves.withColumn("segments", F.split("shape", "/"))
-        .withColumn("parents", chained)
-        .select("host", "shape", "n", F.posexplode(F.arrays_zip("segments", "parents")).alias("depth", "node"))
-        .filter("node.segments IS NOT NULL")
-        .select("host", "shape", "n", "depth", F.col("node.parents").alias("parent"), F.col("node.segments").alias("segment"))
-    )
-    children = nodes.groupBy("host", "parent", "segment").agg(F.sum("n").alias("support"))
-    crowded = children.groupBy("host", "parent").agg(F.count("*").alias("n_children")).filter(F.col("n_children") > max_children)
-    variable = children.filter(F.col("support") < min_support).join(crowded, ["host", "parent"]).select(
-        "host", "parent", "segment", F.lit(True).alias("variable"))
-    general = (
-        nodes.join(variable, ["host", "parent", "segment"], "left")
-        .withColumn("general", F.when(F.col("variable"), F.lit("<*>")).otherwise(F.col("segment")))
-        .groupBy("host", "shape")  # a leaf's own segments: as many as its path is deep
-        .agg(F.array_sort(F.collect_list(F.struct("depth", "general"))).alias("s"))
-        .select("host", "shape", F.array_join("s.general", "/").alias("template"),
-                F.array_join(F.transform("s.general", lambda x: F.when(x.contains("<") | (x == ""), x).otherwise(F.lit("<w>"))), "/").alias("skeleton"))
-    )
-    leaves = leaves.join(general, ["host", "shape"])
+    leaves = stored(generalised(leaves, max_children, min_support)).withColumn("skeleton", F.array_join(F.transform(
+        F.split("template", "/"), lambda x: F.when(x.contains("<") | (x == ""), x).otherwise(F.lit("<w>"))), "/"))
     branches = leaves.groupBy("host", "skeleton", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     pooled = branches.groupBy("host", "skeleton").agg(F.try_divide(F.sum("blocked"), F.sum("labelled")).alias("p"))
     spread = F.sqrt(F.col("labelled") * F.col("p") * (1 - F.col("p")))
     z = F.coalesce(F.try_divide(F.col("blocked") - F.col("labelled") * F.col("p"), spread), F.lit(0.0))
     branches = branches.join(pooled, ["host", "skeleton"]).withColumn(
-        "branch", F.when(F.col("labelled") == 0, "none").when(z > max_z, "over").when(z < -max_z, "under").otherwise("like"))
+        "branch", F.when(z > max_z, "over").when(z < -max_z, "under").otherwise("like"))
     merged = branches.groupBy("host", "skeleton", "branch").agg(
         ((F.sum("blocked") + PRIOR_BLOCKED) / (F.sum("labelled") + PRIOR_LABELLED).cast("double")).alias("purity"))
     return (
