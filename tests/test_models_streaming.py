@@ -163,3 +163,28 @@ def test_outcomes_do_not_depend_on_the_order_of_arrival(spark, scratch):
     batch = perf.outcomes(to_time(spark.createDataFrame(predictions, p_schema), "predicted_time"), to_time(spark.createDataFrame(labels, y_schema), "label_time"))
     assert early == 0 and a == b == sorted(map(tuple, batch.collect()), key=repr) and len(a) == 80
     assert sum(r[4] is None for r in a) == 20 + sum(1 for i in range(80) if i % 4 and i % 5 >= 3)
+
+
+def test_windows_take_late_rows_and_repeated_batches(spark, scratch):
+    import random
+    from txguard.streaming.windows import WindowTable
+    rng = random.Random(8)
+    rows = [(f"2025-03-{1 + rng.randrange(5):02d} {rng.randrange(24):02d}:{rng.randrange(60):02d}:00", rng.randrange(100000) / 100, rng.randrange(2)) for _ in range(300)]
+    df = spark.createDataFrame([*rows, (None, 1.0, 1), ("no time", 1.0, 1)], "current_time string, amt double, is_fraud_predicted int")
+    table = WindowTable(spark, scratch + "/w", fan=3)
+    parts = df.randomSplit([1.0] * 8, 3)
+    for k, part in enumerate(parts):
+        assert table.append(part, k)
+        assert not table.append(part, k) and not table.append(parts[0], 0)          # run again
+    got = {str(r["window_start"]): tuple(r)[1:] for r in table.read().collect()}
+    want = {}
+    for t, amt, flag in rows:
+        start = f"{t[:11]}{int(t[11:13]) // 2 * 2:02d}:00:00"
+        n, f, a = want.get(start, (0, 0, 0.0))
+        want[start] = (n + 1, f + flag, a + amt * flag)
+    assert set(got) == set(want) and len(table.log.latest().tables["parts"]) < 3
+    for start, (n, f, a) in want.items():
+        assert got[start][1:3] == (n, f) and abs(got[start][3] - f / n) < 1e-12 and abs(got[start][4] - a) < 1e-6
+    # the batch form over the same rows
+    batch = {str(r["window_start"]): (r["n_transactions"], r["n_predicted_frauds"]) for r in st.fraud_rate_windows(df.where("try_cast(current_time AS TIMESTAMP_NTZ) IS NOT NULL")).collect()}
+    assert batch == {k: v[:2] for k, v in want.items()}

@@ -84,6 +84,7 @@ def append_to_training_set(spark, path: str, new_rows: DataFrame) -> DataFrame:
     merge_id = uuid.uuid4().hex
     (added.withColumn(MERGE_ID_COLUMN, F.lit(merge_id))
      .write.mode("append").partitionBy(MERGE_ID_COLUMN).parquet(path))
-    written = read_training_set(spark, path, keep_merge_id=True)
-    return written.where(F.col(MERGE_ID_COLUMN) == merge_id).select(
-        F.col("trans_num").cast("string").alias("trans_num"))
+    # the merge's own folder alone: no footer of the rest is read
+    folder = f"{path}/{MERGE_ID_COLUMN}={merge_id}"
+    written = spark.read.schema(added.schema).parquet(folder) if path_exists(spark, folder) else added.limit(0)
+    return written.select(F.col("trans_num").cast("string").alias("trans_num"))
