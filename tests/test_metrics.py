@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,8 +82,68 @@ def test_metric_rows_names(spark):
             "production_recall", "production_true_positives"} <= names
 
 
-def test_no_single_task_window_in_ranking_plan(spark):
-    ev = Evaluation(long_scores(view(spark, SF_SMALL, "scores"), SCORES))
+def test_no_single_task_window_in_ranking_plan(spark, scratch):
+    # stored first: the plan of the view itself counts two tables
+    view(spark, SF_SMALL, "scores").write.parquet(scratch)
+    ev = Evaluation(long_scores(spark.read.parquet(scratch), SCORES))
     plan = ev.ranking()._jdf.queryExecution().executedPlan().toString()
     # every window is partitioned by the range id (and the model)
     assert "SinglePartition" not in plan
+
+
+def plain_ranking(rows):
+    pos, neg = (sorted(s for s, y in rows if y == k) for k in (1, 0))
+    import bisect
+    auc = sum(bisect.bisect_left(neg, s) + (bisect.bisect_right(neg, s) - bisect.bisect_left(neg, s)) / 2 for s in pos) / (len(pos) * len(neg))
+    every, ap = sorted({s for s, _ in rows}, reverse=True), 0.0
+    for s in every:
+        tp, n = len(pos) - bisect.bisect_left(pos, s), len(rows) - bisect.bisect_left(sorted(x for x, _ in rows), s)
+        ap += (bisect.bisect_right(pos, s) - bisect.bisect_left(pos, s)) / len(pos) * tp / n
+    return auc, ap
+
+
+def test_ranking_over_distinct_scores_and_over_one_heavy_score(spark):
+    import random
+    rng = random.Random(6)
+    distinct = [(rng.random() ** 3, int(rng.random() < 0.2)) for _ in range(900)]
+    heavy = [(0.0, int(rng.random() < 0.05)) for _ in range(800)] + [(rng.random() * 1e-3, 1) for _ in range(60)] + [(float("inf"), 1), (-5.0, 0)]
+    for rows in (distinct, heavy):
+        df = spark.createDataFrame([("m", y, s) for s, y in rows], "model string, label int, score double").repartition(5)
+        r = Evaluation(df, n_ranges=16).ranking().first()
+        auc, ap = plain_ranking(rows)
+        assert abs(r["roc_auc"] - auc) < 1e-9 and abs(r["average_precision"] - ap) < 1e-9
+
+
+def test_ranges_follow_from_the_value_and_need_no_checkpoint(spark):
+    import bisect
+    from txguard.operators.ranking import RANGE_ID, range_bounds, range_of, valued_ranges
+    df = spark.range(2000).selectExpr("'m' AS model", "CAST(id % 7 = 0 AS INT) AS label", "CAST(CASE WHEN id % 3 = 0 THEN 0.25 ELSE id / 1999.0 END AS DOUBLE) AS score")
+    bounds = range_bounds(df, "score", 20)
+    assert bounds == sorted(set(bounds)) and 20 <= len(bounds) <= 38
+    got = df.selectExpr("score", f"{range_of('score', bounds)} AS r").collect()
+    assert all(r["r"] == bisect.bisect_left(bounds, r["score"]) for r in got)
+    sizes = [r["n"] for r in valued_ranges(df.select("score").distinct(), "score", bounds).groupBy(RANGE_ID).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 2 * sum(sizes) / 20
+    assert range_bounds(df.limit(0), "score", 20) == [] and range_bounds(df, "score", 1) == [] and range_of("score", []) == "0"
+    plan = Evaluation(df).ranking()._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "rangepartitioning" not in plan
+
+
+def test_medians_by_narrowing_brackets(spark, monkeypatch):
+    import random
+    import statistics
+    from txguard.operators import ranking
+    monkeypatch.setattr(ranking, "FEW", 300)
+    rng = random.Random(3)
+    n = 4001
+    columns = {"normal": [rng.gauss(0, 1) for _ in range(n)], "ties": [float(rng.randrange(3)) for _ in range(n)], "one": [7.5] * n,
+               "gaps": [None if i % 3 else float(i) for i in range(n)], "nans": [float("nan") if i % 2 else i / 7 for i in range(n)],
+               "two": [0.0] * 2000 + [1.0] * 2000 + [None], "nothing": [None] * n, "wide": [rng.choice([-1, 1]) * 10.0 ** rng.randrange(-200, 200) for _ in range(n)]}
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns)).repartition(4)
+    got = {r["feature"]: r["median"] for r in ranking.exact_medians(df, list(columns)).collect()}
+    want = {c: statistics.median(x for x in v if x is not None and x == x) for c, v in columns.items() if c != "nothing"}
+    assert got == want
+    # a sketch that is off is noticed, and the bracket widened
+    monkeypatch.setattr(ranking, "SKETCH_K", 8)
+    got = {r["feature"]: r["median"] for r in ranking.exact_medians(df, ["normal", "wide"]).collect()}
+    assert got == {c: want[c] for c in ("normal", "wide")}

@@ -8,9 +8,9 @@ default-threshold confusion matrix and the exact ROC AUC / average precision
 all read the histogram.
 
 AUC and AP need counts accumulated from the highest score down; they come
-from ``ranking.running_sums`` over the range-partitioned, checkpointed
-histogram (no single-task window); the other metrics read the histogram as it
-is, with no range shuffle.
+from ``ranking.running_sums`` over the histogram cut into ranges of score
+(no single-task window); the other metrics read the histogram as it is, with
+no second shuffle.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from txguard.functions.formatting import threshold_label
 from txguard.schemas import DEFAULT_ALERT_THRESHOLD, DEFAULT_THRESHOLDS
-from txguard.operators.ranking import pinned_ranges, running_sums
+from txguard.operators.ranking import range_bounds, running_sums, valued_ranges
 
 
 def build_thresholds(production_threshold: float = DEFAULT_ALERT_THRESHOLD,
@@ -202,14 +202,15 @@ class Evaluation:
                  n_ranges: int | None = None):
         self.group_cols = list(group_cols)
         self.n_ranges = n_ranges
+        self.scored, self.score_col = scored, score_col
         self.hist = score_histogram(scored, self.group_cols, label_col, score_col)
         self._ranged: DataFrame | None = None
 
     def ranking(self) -> DataFrame:
-        """The only metrics that need the ranges pinned."""
+        """The only metrics that need the histogram in ranges."""
         if self._ranged is None:
-            self._ranged = pinned_ranges(self.hist, self.group_cols, "score", descending=True,
-                                         n_ranges=self.n_ranges)
+            n = self.n_ranges or int(self.scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            self._ranged = valued_ranges(self.hist, "score", range_bounds(self.scored, self.score_col, n), descending=True)
         return ranking_metrics(cumulative_from_top(self._ranged, self.group_cols), self.group_cols)
 
     def default(self, cut: float = 0.5) -> DataFrame:
