@@ -23,8 +23,9 @@ def test_every_query_has_an_id_key_and_most_have_oracles():
     for name in q:
         head = name.split("_")[0]
         assert head[0] in "spqjaoufmgtd" and head[1:].isdigit(), name
+    # what a fit has learned has no SQL: test_retraining recomputes its metrics
     without = sorted(set(q) - set(o))
-    assert without == []
+    assert without == ["m12_candidate_evaluation", "m7_logistic_regression", "m8_random_forest", "m9_boosted_trees"]
 
 
 def test_plans_have_no_python_udf(spark):
