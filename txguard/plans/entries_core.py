@@ -9,11 +9,13 @@ from txguard.functions import (
     customer_age, first_present, fixed, format_amount, format_coordinates,
     format_datetime, format_distance, format_probability, format_threshold,
     haversine_km, is_weekend, location_text, to_number, with_haversine_rounded,
-    to_timestamp_lenient, transaction_dayofweek, transaction_hour, transaction_month,
+    to_date_lenient, to_timestamp_lenient, transaction_dayofweek, transaction_hour, transaction_month,
 )
 from txguard.operators.alerts import alert_messages, alert_rows, new_alerts, predicted_frauds
+from txguard.operators.dedupe import new_keys_only, present_keys_only
 from txguard.operators.features import prepare_features, prepare_features_and_target
 from txguard.operators.labels import to_pipeline_names, to_table_names
+from txguard.operators.quality import require_non_empty
 from txguard.operators.scoring import decision, predict_fraud
 from txguard.operators.training_set import normalize_training_types
 from txguard.plans.catalog import V, r6, register, scored_cte
@@ -87,6 +89,7 @@ def s2(spark, sf):
 
 @register("s3_empty_guard", "SELECT count(*) AS n_rows, count(*) = 0 AS is_empty FROM transactions")
 def s3(spark, sf):
+    require_non_empty(tx(spark, sf), "transactions")
     return tx(spark, sf).agg(F.count(F.lit(1)).alias("n_rows")).select(
         "n_rows", (F.col("n_rows") == 0).alias("is_empty"))
 
@@ -313,9 +316,9 @@ def p12(spark, sf):
 FROM labeled_new n""")
 def p13(spark, sf):
     new, base = V(spark, sf, "labeled_new"), V(spark, sf, "training_base")
-    keys = base.select(F.col("trans_num").alias("_k"), F.lit(True).alias("in_training")).distinct()
-    return new.join(keys, new["trans_num"] == keys["_k"], "left").select(
-        new["trans_num"], F.coalesce("in_training", F.lit(False)).alias("in_training"))
+    flagged = [rows.select("trans_num", F.lit(flag).alias("in_training")) for rows, flag in (
+        (present_keys_only(new, base, "trans_num"), True), (new_keys_only(new, base, "trans_num"), False))]
+    return flagged[0].unionByName(flagged[1])
 
 
 @register("p14_channel_default", f"""WITH {scored_cte()}
@@ -377,7 +380,7 @@ def f9(spark, sf):
 
 @register("f10_to_date", """SELECT trans_num, CAST("current_time" AS DATE) AS transaction_date FROM transactions""")
 def f10(spark, sf):
-    return tx(spark, sf).select("trans_num", F.to_date("current_time").alias("transaction_date"))
+    return tx(spark, sf).select("trans_num", to_date_lenient("current_time").alias("transaction_date"))
 
 
 @register("f11_fillna_int", """SELECT trans_num, copy_no,
@@ -386,15 +389,15 @@ FROM transactions_dirty""")
 def f11(spark, sf):
     d = V(spark, sf, "transactions_dirty")
     raw = F.when(F.col("category").isNull(), F.lit(None)).otherwise(F.col("is_fraud"))
-    return d.select("trans_num", "copy_no", F.coalesce(raw, F.lit(0)).cast("int").alias("is_fraud"))
+    return normalize_training_types(d.select("trans_num", "copy_no", raw.alias("is_fraud")))
 
 
 @register("f12_key_as_string", """SELECT trans_num, copy_no, CAST(cc_num AS VARCHAR) AS cc_text,
  CAST(CAST(trans_num AS BIGINT) AS VARCHAR) AS key_text FROM transactions_dirty""")
 def f12(spark, sf):
     d = V(spark, sf, "transactions_dirty")
-    return d.select("trans_num", "copy_no", F.col("cc_num").cast("string").alias("cc_text"),
-                    _key_bigint().cast("string").alias("key_text"))
+    keyed = normalize_training_types(d.select(_key_bigint().alias("trans_num"), F.col("trans_num").alias("key"), "copy_no", "cc_num"))
+    return keyed.select(F.col("key").alias("trans_num"), "copy_no", F.col("cc_num").cast("string").alias("cc_text"), F.col("trans_num").alias("key_text"))
 
 
 @register("f13_first_present", f"""WITH {scored_cte()}
