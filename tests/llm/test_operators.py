@@ -101,6 +101,28 @@ def test_encoder_equals_the_library_on_odd_texts():
     assert counts.sum() == len(ids)
 
 
+def test_tokenizer_of_this_kind_with_another_pattern_or_token(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    spec = json.loads(open(tokenfiles.vocabulary_path()).read())
+    assert tokenfiles.Encoder(tokenfiles.vocabulary_path()).plain
+    other = json.loads(json.dumps(spec))
+    other["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}\p{N}]+"
+    added = json.loads(json.dumps(spec))
+    added["added_tokens"] += [{**spec["added_tokens"][0], "id": 49408, "content": "[sep]"}]
+    texts = ["area51 in 1998 b2b", "", "don't stop! it's 3.14", "a[sep]b [sep] C3PO", "été 99 bottles"]
+    for k, changed in enumerate((other, added)):
+        path = str(tmp_path / f"{k}.json")
+        with open(path, "w") as f:
+            json.dump(changed, f)
+        enc, tok = tokenfiles.Encoder(path), Tokenizer.from_file(path)
+        assert not enc.plain
+        ids, _ = enc.texts(pa.array(texts), 2)
+        assert ids.tolist() == [x for t in texts for x in [*tok.encode(t, add_special_tokens=False).ids, 2]]
+
+
 def test_tokenizer_of_another_kind_encodes_whole_texts():
     from tokenizers import Tokenizer
 

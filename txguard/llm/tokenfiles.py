@@ -53,6 +53,8 @@ END_ID = 2
 SLICE = 4 << 20
 CACHED_PIECES = 500_000
 PLAIN_TEXT = r"^[\t-\r !-&(-~\x{a1}-\x{ff}]*$"
+# Fixed value: the pre-token pattern that ``_plain`` cuts by.
+PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN = re.compile("[!-~\u00a1-\u00ff]+")  # Latin-1 without blanks and controls: lower-casing is all that normalizing does
 
 
@@ -74,6 +76,8 @@ class Encoder:
         spec = json.loads(self.tok.to_str())
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.split = self.chunkable(spec)
+        # else every text is cut run by run, by the file's own pattern and added tokens
+        self.plain = self.split is not None and self.split.pattern == PLAIN_PATTERN and all("<|" in t["content"] for t in spec["added_tokens"])
         self.added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
         suffix = spec["model"].get("end_of_word_suffix") or ""
         self.ends = np.zeros(self.size, bool)
@@ -147,6 +151,8 @@ class Encoder:
             counts = np.array([len(x) + 1 for x in found], np.int64)
             return np.concatenate([np.append(x, np.uint32(end)) for x in found] or [np.zeros(0, np.uint32)]), counts
         text = pc.fill_null(text, "")
+        if not self.plain:
+            return self._mixed(text, end)
         plain = pc.and_(pc.match_substring_regex(text, PLAIN_TEXT), pc.invert(pc.match_substring(text, "<|")))
         if pc.all(plain).as_py() is not False:
             return self._plain(text, end)
