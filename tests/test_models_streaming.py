@@ -188,3 +188,16 @@ def test_windows_take_late_rows_and_repeated_batches(spark, scratch):
     # the batch form over the same rows
     batch = {str(r["window_start"]): (r["n_transactions"], r["n_predicted_frauds"]) for r in st.fraud_rate_windows(df.where("try_cast(current_time AS TIMESTAMP_NTZ) IS NOT NULL")).collect()}
     assert batch == {k: v[:2] for k, v in want.items()}
+
+
+def test_fits_read_a_frame_of_one_row_group_on_every_core(spark):
+    from txguard.operators.models import FIT_ROWS, spread
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(FIT_ROWS * cores).coalesce(1)
+    dealt = spread(one)
+    sizes = dealt.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) == cores and sum(sizes) == FIT_ROWS * cores and max(sizes) < 2 * min(sizes)
+    few = spread(spark.range(FIT_ROWS).coalesce(1))         # not worth a shuffle
+    assert few.rdd.getNumPartitions() == 1
+    for df in (dealt, few):
+        df.unpersist()
