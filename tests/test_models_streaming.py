@@ -201,3 +201,12 @@ def test_fits_read_a_frame_of_one_row_group_on_every_core(spark):
     assert few.rdd.getNumPartitions() == 1
     for df in (dealt, few):
         df.unpersist()
+
+
+def test_landed_files_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    from txguard.plans import entries_ops
+    monkeypatch.setattr(entries_ops, "LANDED_ROWS", 100)
+    src = entries_ops._landing(spark, spark.range(1000))
+    files = [r["n"] for r in spark.read.parquet(src).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(files) == 10 and max(files) <= 110 and sum(files) == 1000
+    assert entries_ops._landed_files(100, 4) == 4
