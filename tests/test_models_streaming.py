@@ -210,3 +210,18 @@ def test_landed_files_hold_a_bounded_number_of_rows(spark, monkeypatch):
     files = [r["n"] for r in spark.read.parquet(src).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert len(files) == 10 and max(files) <= 110 and sum(files) == 1000
     assert entries_ops._landed_files(100, 4) == 4
+
+
+def test_late_rows_query_writes_no_file_of_the_whole_table(spark, monkeypatch):
+    from tests.conftest import SF_SMALL
+    from txguard.plans import entries_ops
+    landed = []
+    fresh = entries_ops.fresh_shared_path
+    monkeypatch.setattr(entries_ops, "LANDED_ROWS", 200)
+    monkeypatch.setattr(entries_ops, "fresh_shared_path", lambda *a: landed.append(fresh(*a)) or landed[-1])
+    monkeypatch.setattr(st, "start_dedupe_stream", lambda spark, src, out, *a, **k: spark.read.parquet(src).write.mode("overwrite").parquet(out))
+    monkeypatch.setattr(st, "run_to_completion", lambda query: None)
+    entries_ops.t2_late(spark, SF_SMALL)
+    files = spark.read.parquet(f"{landed[0]}/in").groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()
+    # about 1500 rows in all, and those with a key once more
+    assert len(files) >= 15 and max(r["n"] for r in files) < 600
