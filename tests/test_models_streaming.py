@@ -203,6 +203,15 @@ def test_fits_read_a_frame_of_one_row_group_on_every_core(spark):
         df.unpersist()
 
 
+def test_a_micro_batch_of_one_file_is_dealt_over_the_cores(spark, scratch):
+    spark.range(400_000).selectExpr("id", "md5(CAST(id AS STRING)) AS text").coalesce(1).write.parquet(scratch)
+    one = spark.read.parquet(scratch)
+    sizes = lambda df: df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert max(sizes(one)) == 400_000                       # one row group
+    dealt = sizes(st.over_all_cores(one))
+    assert sum(dealt) == 400_000 and max(dealt) < 200_000
+
+
 def test_landed_files_hold_a_bounded_number_of_rows(spark, monkeypatch):
     from txguard.plans import entries_ops
     monkeypatch.setattr(entries_ops, "LANDED_ROWS", 100)
