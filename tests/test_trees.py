@@ -78,3 +78,19 @@ def test_drawn_trees_learn_and_can_be_saved(spark, scratch):
         auc = (rank[y == 1].mean() - (y.sum() - 1) / 2) / (y == 0).sum()
         assert auc > 0.9 and len(model.stages[-1].trees) == 12
         assert len({str(t.toDebugString) for t in model.stages[-1].trees}) == 12
+
+
+@pytest.mark.parametrize("name, settings", [("m8_random_forest", {"RF_TREES": 4, "RF_DEPTH": 6}), ("m9_boosted_trees", {"GBT_ROUNDS": 4})])
+def test_frames_of_many_rows_are_fitted_on_compact_rows(spark, monkeypatch, name, settings):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    from txguard.operators import models
+    for k, v in {"FIT_ROWS": 500, **settings}.items():
+        monkeypatch.setattr(models, k, v)
+    fitted = []
+    monkeypatch.setattr(models, "fit_trees", lambda *a: fitted.append(trees.fit_trees(*a)) or fitted[-1])
+    out = E.queries()[name](spark, SF_SMALL).collect()
+    assert len(fitted) == 1 and len(out) == 300 and all(0 <= r["fraud_probability"] <= 1 for r in out)
+    hit = [r["fraud_probability"] for r in out if r["label"] == 1]
+    miss = [r["fraud_probability"] for r in out if r["label"] == 0]
+    assert sum(hit) / len(hit) > sum(miss) / len(miss) + 0.1
