@@ -261,3 +261,24 @@ def test_late_rows_are_read_from_the_tables_once(spark):
     finally:
         entries_ops.V = view_
     assert [(s.value, n) for s, n in passes] == [(n, n) for _, n in passes] and out.count() > 1400
+
+
+def test_scoring_stream_lands_its_repeats_in_one_pass(spark, monkeypatch):
+    import __spark_entry__ as E
+    from txguard.plans import entries_ops
+
+    class Landed(Exception):
+        pass
+
+    def landing(_, df):
+        raise Landed(df)
+
+    monkeypatch.setattr(entries_ops, "_landing", landing)
+    try:
+        E.queries()["t1_scoring_stream"](spark, SF_SMALL)
+    except Landed as e:
+        df = e.args[0]
+    t, key = view(spark, SF_SMALL, "transactions").select(*df.columns), F.col("trans_num").cast("bigint")
+    wanted = t.unionByName(t.where(key % 7 == 0)).unionByName(t.where(key % 11 == 0))
+    assert df.count() == wanted.count() and df.exceptAll(wanted).count() == 0
+    assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
